@@ -30,12 +30,12 @@ BLOCK = 20_000
 
 _INLINE = re.compile(r"</?(?:a|abbr|b|big|code|em|font|i|ins|del|kbd|mark|s|small|span|strong|sub|sup|tt|u)\b[^<>]{0,300}>", re.I)
 _TAG = re.compile(r"<[/!?]?[a-zA-Z][^<>]{0,300}>|<!--.*?-->", re.S)
-_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐­]\s*\n\s*(?:[>|]+\s*)?(?=[^\W\d_])")
-_MARKS = re.compile("[*_`~­​-‏‪-‮⁠-⁤﻿᠎︀-️]")
+_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐\u00ad]\s*\n\s*(?:[>|]+\s*)?(?=[^\W\d_])")
+_MARKS = re.compile("[*_`~\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff\u180e\ufe00-\ufe0f]")
 _LINK = re.compile(r"\[([^\[\]]{1,300})\]\([^()\s]{0,300}\)")
-_WORD = re.compile(r"[฀-๿぀-ヿ㐀-鿿豈-﫿]|[^\W_฀-๿぀-ヿ㐀-鿿豈-﫿]+")
-_DENSE = re.compile(r"[฀-๿぀-ヿ㐀-鿿豈-﫿]")
-_COMBINING = re.compile(r"[̀-ͯ҃-҉ً-ْ᪰-᫿⃐-⃿︠-︯]")
+_WORD = re.compile(r"[\u0e00-\u0e7f\u3040-ヿ㐀-鿿豈-\ufaff]|[^\W_\u0e00-\u0e7f\u3040-ヿ㐀-鿿豈-\ufaff]+")
+_DENSE = re.compile(r"[\u0e00-\u0e7f\u3040-ヿ㐀-鿿豈-\ufaff]")
+_COMBINING = re.compile(r"[\u0300-\u036f\u0483-҉\u064b-\u0652\u1ab0-\u1aff\u20d0-\u20ff\ufe20-\ufe2f]")
 
 
 def words(text: str | None) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomgrid.llm import leakage, tokens
+from fathomgrid.llm import leakage, sentences, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,5 +21,10 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaks(_table(spark, folder, "eval_items"), _table(spark, folder, "documents"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sentence units of every document."""
+    return sentences.split(_table(spark, folder, "documents"))
+
+
+QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
