@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fathomgrid.llm import leakage, sentences, tokens
+from fathomgrid.llm import leakage, people, sentences, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def everybody(spark: SparkSession, folder: str) -> DataFrame:
+    """The person records of all services."""
+    tables = [_table(spark, folder, f"people_{t}").withColumn("source", F.lit(t)) for t in ("github", "slack", "jira")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of records of one person in different services."""
+    return people.pairs(people.match(everybody(spark, folder))).select("rec_id_a", "rec_id_b")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode(_table(spark, folder, "documents"))
@@ -26,5 +40,5 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.split(_table(spark, folder, "documents"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
