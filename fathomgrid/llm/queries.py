@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomgrid.llm import leakage, people, sentences, tokens
+from fathomgrid.llm import leakage, markup, people, sentences, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,16 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return people.pairs(people.match(everybody(spark, folder))).select("rec_id_a", "rec_id_b")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Headings, list items, code blocks and formulas of the marked-up texts of tickets."""
+    return markup.elements(markup.fields(_table(spark, folder, "tickets")))
+
+
+def p3_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean text of the marked-up texts of tickets."""
+    return markup.clean(markup.fields(_table(spark, folder, "tickets")))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode(_table(spark, folder, "documents"))
@@ -40,5 +50,5 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.split(_table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_text": p3_text, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
