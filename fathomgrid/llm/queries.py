@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomgrid.llm import leakage, markup, people, sentences, tokens
+from fathomgrid.llm import leakage, markup, people, pii, sentences, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,16 @@ def p3_text(spark: SparkSession, folder: str) -> DataFrame:
     return markup.clean(markup.fields(_table(spark, folder, "tickets")))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in the free texts of tickets."""
+    return pii.detect(pii.fields(_table(spark, folder, "tickets"))).drop("end_at")
+
+
+def p5_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The free texts of tickets with typed placeholders."""
+    return pii.redact(pii.fields(_table(spark, folder, "tickets")))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode(_table(spark, folder, "documents"))
@@ -50,5 +60,5 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.split(_table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_text": p3_text, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_text": p3_text, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}
