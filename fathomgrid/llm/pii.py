@@ -29,8 +29,8 @@ SENTENCES, EPOCHS, SEED = 3600, 9, 29
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 #: Tokens of a window in decoding; longer sentences are decoded in overlapping windows.
 WINDOW, OVERLAP = 160, 40
-#: A word is common when it makes up this share of all words; so there are never more than its inverse, 20,000.
-SHARE = 1 / 20_000
+#: A word is common when it makes up this share of all words and occurs this often; so there are never more than the inverse of the share.
+SHARE, OFTEN = 1 / 40_000, 5
 
 _AT = r"(?:@|＠|%40|&#64;|\(at\)|\[at\])"
 _TOKEN = re.compile(
@@ -603,7 +603,7 @@ def common_words(texts: DataFrame, column: str = "text") -> frozenset[str]:
     words = texts.select(F.explode(F.regexp_extract_all(F.lower(column), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
     counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return frozenset(r[0] for r in counts.where(F.col("n") >= max(2.0, total * SHARE)).collect())
+    return frozenset(r[0] for r in counts.where(F.col("n") >= max(OFTEN, total * SHARE)).collect())
 
 
 def _trained(texts: DataFrame) -> Field:
