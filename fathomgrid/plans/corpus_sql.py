@@ -9,7 +9,7 @@ def _key(c: str) -> str:
     return f"nullif(upper(regexp_replace({c}, '^{SPACE}+|{SPACE}+$', '', 'g')), '')"
 
 
-def _time(c: str) -> str:
+def time_sql(c: str) -> str:
     s = f"regexp_replace({c}, '^{SPACE}+|{SPACE}+$', '', 'g')"
     iso = rf"regexp_replace({s}, '([+-]\d{{2}})(\d{{2}})$', '\1:\2')"
     return (
@@ -22,7 +22,7 @@ def _time(c: str) -> str:
 LATEST = f"""
 parsed AS (
   SELECT {_key('key')} AS key, {_key('parent_key')} AS parent, {_key('project_key')} AS project, load_id,
-         loaded_at AT TIME ZONE 'UTC' AS loaded_at, {_time('updated')} AS updated
+         loaded_at AT TIME ZONE 'UTC' AS loaded_at, {time_sql('updated')} AS updated
   FROM tickets),
 latest AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -56,8 +56,8 @@ FROM named WHERE record_id IS NOT NULL GROUP BY source, target, record_id HAVING
 P4 = f"""
 WITH {LATEST},
 saves AS (
-  SELECT save_id, {_key("split_part(job_id, '/', 2)")} AS project, {_time('started_at')} AS started, {_time('updated_at')} AS saved,
-    lower(trim(phases['tickets'].status)) AS status, {_time("phases['tickets'].cursor")} AS cursor_at, phases['tickets'].completed_ids AS ids
+  SELECT save_id, {_key("split_part(job_id, '/', 2)")} AS project, {time_sql('started_at')} AS started, {time_sql('updated_at')} AS saved,
+    lower(trim(phases['tickets'].status)) AS status, {time_sql("phases['tickets'].cursor")} AS cursor_at, phases['tickets'].completed_ids AS ids
   FROM checkpoints WHERE lower(trim(split_part(job_id, '/', 1))) = 'jira'),
 success AS (
   SELECT project, cursor_at, saved FROM (
