@@ -210,7 +210,8 @@ def parse_landed(files: DataFrame) -> DataFrame:
             )
             yield out.filter(out.column(2).is_valid())
 
-    return files.select(F.col("file_id").cast("long").alias("file_id"), "source", "target", "path", "modified_at", "content").mapInArrow(batches, LANDED)
+    needed = files.select(F.col("file_id").cast("long").alias("file_id"), "source", "target", "path", "modified_at", "content")
+    return storage.spread(needed).mapInArrow(batches, LANDED)
 
 
 def ledger(records: DataFrame) -> DataFrame:

@@ -43,12 +43,13 @@ def _resolve(state: DataFrame, name: str, path: bool = False) -> tuple[DataFrame
     steps to its root. Depths in a forest have no gaps, so a round that
     resolves nothing leaves only nodes that never reach a root.
     """
-    state, at = storage.materialise(state, name)
-    left, used = state.where(F.col("root").isNull()).count(), [at]
+    is_open = F.col("root").isNull()
+    state, at, left = storage.materialise_counted(state, name, is_open)
+    used = [at]
     while left:
-        state, at = storage.materialise(_double(state, path), name)
+        before = left
+        state, at, left = storage.materialise_counted(_double(state, path), name, is_open)
         used.append(at)
-        before, left = left, state.where(F.col("root").isNull()).count()
         if len(used) > 2:
             storage.remove(state.sparkSession, used.pop(-3))
         if left == before:

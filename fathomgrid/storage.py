@@ -13,7 +13,8 @@ import tempfile
 import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -108,5 +109,21 @@ def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def materialise_counted(df: DataFrame, name: str, which: Column) -> tuple[DataFrame, str, int]:
+    """Like materialise, with the number of rows for which a condition holds, counted while writing."""
+    seen = Observation()
+    stored, path = materialise(df.observe(seen, F.count_if(which).alias("n")), name)
+    return stored, path, int(seen.get["n"])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over at least as many partitions as there are cores, for stages that compute more than they read.
+
+    Tables with enough partitions, as all large ones have, are not shuffled.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= want else df.repartition(want)
+
+
 def dump_json(value: Any) -> str:
     return json.dumps(value, sort_keys=True, ensure_ascii=False, default=str)
