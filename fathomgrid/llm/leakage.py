@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathomgrid import storage
+
 #: Least length of a passage in words, in characters of scripts without spaces, and unedited words per edited one.
 WORDS, CHARACTERS, TENTH = 12, 24, 10
 #: Words of a seed; characters (or words between them) of a seed in scripts without spaces.
@@ -196,7 +198,7 @@ def leaks(items: DataFrame, documents: DataFrame, block: int = BLOCK) -> DataFra
     """
     spark = documents.sparkSession
     source = items.select(F.col("item_id").cast("long"), "text").dropDuplicates().toLocalIterator()
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
+    texts = storage.spread(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull()))
     found: DataFrame | None = None
     while rows := [(r[0], r[1]) for r in islice(source, block)]:
         shared = spark.sparkContext.broadcast(rows)

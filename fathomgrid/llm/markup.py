@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathomgrid import storage
 from fathomgrid.llm.boosting import Trees
 from fathomgrid.operators.nested import load_document
 
@@ -557,7 +558,7 @@ def elements(texts: DataFrame) -> DataFrame:
             rows = b.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), pa.array(kind, pa.string()), pa.array(seq, pa.int32())], names=["load_id", "field", "comment_pos", "kind", "seq"])
 
-    return texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text").mapInArrow(batches, schema)
+    return storage.spread(texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text")).mapInArrow(batches, schema)
 
 
 def clean(texts: DataFrame) -> DataFrame:
@@ -573,4 +574,4 @@ def clean(texts: DataFrame) -> DataFrame:
             shown = [render(*g).encode("utf-8", "replace").decode() if g else None for g in got]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(shown, pa.string())], names=["load_id", "field", "comment_pos", "text"])
 
-    return texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text").mapInArrow(batches, schema)
+    return storage.spread(texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text")).mapInArrow(batches, schema)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathomgrid import storage
+
 KINDS = ("email", "phone", "id_number", "address", "person_name")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 #: Drawn sentences in the training table, passes over it, and the seed of the draw.
@@ -635,7 +637,7 @@ def detect(texts: DataFrame) -> DataFrame:
             rows = b.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), pa.array(kinds, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["load_id", "field", "comment_pos", "kind", "start_at", "end_at"])
 
-    return texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text").mapInArrow(batches, schema)
+    return storage.spread(texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text")).mapInArrow(batches, schema)
 
 
 def redact(texts: DataFrame) -> DataFrame:
@@ -650,4 +652,4 @@ def redact(texts: DataFrame) -> DataFrame:
             masked = [mask(t, v) for t, v in zip(own, find(own, field))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(masked, pa.string())], names=["load_id", "field", "comment_pos", "text"])
 
-    return texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text").mapInArrow(batches, schema)
+    return storage.spread(texts.select(F.col("load_id").cast("long").alias("load_id"), "field", F.col("comment_pos").cast("int").alias("comment_pos"), "text")).mapInArrow(batches, schema)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathomgrid import storage
+
 # Abbreviations of the languages covered, lower case, without the last dot.
 #: Stand before a name and never end a sentence.
 TITLES = frozenset("dr prof mr mrs ms st rev hon gen col sgt capt lt sr sra srta dra lic ing hr fr frl m mm mme mlle me г-н г-жа акад доц डॉ श्री प्रो د أ م".split())
@@ -326,4 +328,4 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                     ends.append(e)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[doc_id, "start_at", "end_at"])
 
-    return documents.select(F.col(doc_id).cast("long").alias(doc_id), text).mapInArrow(batches, schema)
+    return storage.spread(documents.select(F.col(doc_id).cast("long").alias(doc_id), text)).mapInArrow(batches, schema)

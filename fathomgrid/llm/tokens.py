@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathomgrid import storage
+
 #: Folder of the vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
 
@@ -133,4 +135,4 @@ def encode(documents: DataFrame, tokenizers: str = TOKENIZERS, doc_id: str = "do
             lists = [encoder.ids(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32()))], names=[doc_id, "ids"])
 
-    return documents.select(F.col(doc_id).cast("long").alias(doc_id), text).mapInArrow(batches, schema)
+    return storage.spread(documents.select(F.col(doc_id).cast("long").alias(doc_id), text)).mapInArrow(batches, schema)
