@@ -19,7 +19,7 @@ def salted(value: Column, salt: str, length: int) -> Column:
 
 
 def _kept_blank(value: Column, masked: Column) -> Column:
-    return F.when(value == "", value).otherwise(masked)
+    return F.when(value == "", value).when(value.isNotNull(), masked)
 
 
 def login(value: Column, salt: str = GITHUB_SALT) -> Column:

@@ -76,8 +76,9 @@ def duration(seconds: Column) -> Column:
 
 def retry_after(header: Column, now: Column) -> Column:
     """Seconds to wait of a header that holds seconds or a date, null for anything else."""
-    at = F.to_unix_timestamp(F.try_to_timestamp(header, F.lit("EEE, dd MMM yyyy HH:mm:ss z")))
-    return F.coalesce(header.try_cast("double"), F.greatest(F.lit(0), at - F.to_unix_timestamp(now)).cast("double"))
+    date = F.regexp_replace(header, r"^[A-Za-z]+, *", "")
+    at = F.to_unix_timestamp(F.try_to_timestamp(date, F.lit("d MMM yyyy HH:mm:ss z")))
+    return F.coalesce(header.try_cast("double"), F.when(at.isNotNull(), F.greatest(F.lit(0), at - F.to_unix_timestamp(now))).cast("double"))
 
 
 def reset_wait(reset: Column, now: Column) -> Column:
