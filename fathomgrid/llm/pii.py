@@ -80,7 +80,7 @@ def attributes(word: str, vocabulary: frozenset[str], common: frozenset[str]) ->
         return ["newline"]
     low = word.lower().rstrip("'’")
     case = _case(word)
-    often = "often" if low in common else "seldom"
+    often = "often" if low in common or low in vocabulary else "seldom"
     out = [often, f"{often}:{case}"]
     if low in vocabulary:
         out += ["w:" + low, "known:" + case]
@@ -510,10 +510,10 @@ def _begin(kind: str, text: str, start: int) -> int:
     return start
 
 
-def _ordinary(value: str, before: str, common: frozenset[str]) -> bool:
+def _ordinary(value: str, before: str, usual: frozenset[str]) -> bool:
     """Whether a decoded name is made of common words only and nothing right before it announces a name."""
     parts = re.findall(r"[^\W\d_]{2,}", value)
-    if not parts or not all(p.lower() in common for p in parts):
+    if not parts or not all(p.lower() in usual for p in parts):
         return False
     return not (all(p[0].isupper() for p in parts) and before.rstrip()[-1:] in tuple("@:=\"“„«(<"))
 
@@ -549,6 +549,7 @@ def find(texts: list[str | None], field: Field) -> list[list[tuple[str, int, int
             sentences.append(words[a:b])
             places.append((i, starts[a:b]))
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    usual = field.common | field.vocabulary
     for words, (i, starts), labels in zip(sentences, places, field.decode(sentences)):
         k = 0
         marked = np.flatnonzero(labels)
@@ -567,7 +568,7 @@ def find(texts: list[str | None], field: Field) -> list[list[tuple[str, int, int
                 e -= 1
             start, end = _begin(kind, texts[i], starts[k]), starts[e - 1] + len(words[e - 1].rstrip("'’"))  # type: ignore[arg-type]
             value = texts[i][start:end]  # type: ignore[index]
-            if _valid(kind, value) and not (kind == "person_name" and _ordinary(value, texts[i][max(0, start - 3) : start], field.common)):  # type: ignore[index]
+            if _valid(kind, value) and not (kind == "person_name" and _ordinary(value, texts[i][max(0, start - 3) : start], usual)):  # type: ignore[index]
                 found[i].append((kind, start, end))
             k = e
     return found

@@ -40,7 +40,7 @@ ORDINAL_BEFORE = frozenset("am der dem den die das des vom zum beim im ab bis se
 _THAI = "ก-\u0e3aเ-\u0e4e"
 _CLOSERS = "\"'”’»›)\\]}」』）】》〉”“"
 _CANDIDATE = re.compile(
-    rf"(?P<wide>[。！？｡．]+[。！？!?…]*[{_CLOSERS}]*)"
+    rf"(?P<wide>[。！？｡．]+[。！？!?…]*[{_CLOSERS.replace('“', '')}]*)"
     rf"|(?P<mark>(?:[.!?…।॥؟۔։]|\.\.\.)+(?:[  ]?[»›]|[{_CLOSERS}])*)(?=\s|$)"
     rf"|(?P<thai>(?<=[{_THAI}])(?=\s+(?:>\s*)?[{_THAI}]))"
 )
