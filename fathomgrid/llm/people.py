@@ -26,6 +26,8 @@ from fathomgrid import storage
 
 #: Three chunks of 64 bits; within radius 5 at least one chunk differs in no more than one bit.
 CHUNKS, CHUNK_BITS, RADIUS = 3, 64, 5
+#: A key under which more pairs than this would meet is split by a second chunk.
+HOT = 20_000
 #: A name part is common when this many records spell it so.
 COMMON = 2
 #: A spelling with a part this many times rarer than that of a near anchor is an error of it.
@@ -159,14 +161,14 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def keys(bits: set[int]) -> list[tuple[int, int, bool]]:
-    """(chunk, key, exact) of every chunk as it is and with one set bit left out."""
+def keys(bits: set[int], most: int = 1) -> list[tuple[int, int, int]]:
+    """(chunk, key, gone) of every chunk with up to `most` of its set bits left out."""
     out = []
     for c in range(CHUNKS):
         own = [b - c * CHUNK_BITS for b in bits if c * CHUNK_BITS <= b < (c + 1) * CHUNK_BITS]
         word = sum(1 << b for b in own)
-        out.append((c, _signed(word), True))
-        out += [(c, _signed(word ^ (1 << b)), False) for b in own]
+        for gone in range(most + 1):
+            out += [(c, _signed(word ^ sum(1 << b for b in left)), gone) for left in combinations(own, gone)]
     return out
 
 
@@ -266,30 +268,42 @@ def near_pairs(strings: DataFrame) -> DataFrame:
 
     strings: text, left and right flags; left ones are compared with right
     ones. By the pigeonhole principle a pair within radius 5 has a chunk of
-    distance 0 or 1, so either the chunks are equal or one of them is the other
-    with one bit left out: exact keys meet exact and shortened ones. Words of
-    the vectors travel with the keys, so a pair is checked where it meets.
+    distance 0 or 1, so the chunks are equal or one of them is the other with
+    one bit left out, and strings meet by such keys. A key where too many would
+    meet is split: the other two chunks then differ in 5 bits at most, so one of
+    them in no more than 2, and strings meet by both chunks. Words of the
+    vectors travel along, so a pair is checked where it meets.
     """
-    kind = "array<struct<chunk:int,key:long,exact:boolean>>"
-    schema = f"text string, lhs boolean, rhs boolean, w array<long>, keys {kind}"
+    kind = "array<struct<chunk:int,key:long,gone:int>>"
+    schema = f"text string, lhs boolean, rhs boolean, w array<long>, keys {kind}, fine {kind}"
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = pa.list_(pa.struct([("chunk", pa.int32()), ("key", pa.int64()), ("exact", pa.bool_())]))
+        arrow = pa.list_(pa.struct([("chunk", pa.int32()), ("key", pa.int64()), ("gone", pa.int32())]))
         for b in it:
-            words, found = [], []
+            words, found, fine = [], [], []
             for t in b.column(0).to_pylist():
-                k = keys(features(t))
-                found.append([{"chunk": c, "key": v, "exact": e} for c, v, e in k])
-                words.append([v for _, v, e in k if e])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(words, pa.list_(pa.int64())), pa.array(found, arrow)], names=["text", "lhs", "rhs", "w", "keys"])
-
-    coded = strings.select("text", "lhs", "rhs").mapInArrow(batches, schema)
-    flat = coded.select("text", "lhs", "rhs", "w", F.explode("keys").alias("k")).select("text", "lhs", "rhs", "w", "k.chunk", "k.key", "k.exact")
-    a = flat.where("lhs").select("chunk", "key", F.col("exact").alias("ea"), "text", F.col("w").alias("wa"))
-    b = flat.where("rhs").select("chunk", "key", F.col("exact").alias("eb"), F.col("text").alias("other"), F.col("w").alias("wb"))
+                k = [{"chunk": c, "key": v, "gone": g} for c, v, g in keys(features(t), 2)]
+                found.append([x for x in k if x["gone"] < 2])
+                fine.append(k)
+                words.append([x["key"] for x in k if not x["gone"]])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(words, pa.list_(pa.int64())), pa.array(found, arrow), pa.array(fine, arrow)], names=["text", "lhs", "rhs", "w", "keys", "fine"])
+
+    coded, _ = storage.materialise(strings.select("text", "lhs", "rhs").mapInArrow(batches, schema), "coded")
+    flat = coded.select("text", "lhs", "rhs", "w", "fine", F.explode("keys").alias("k")).select("text", "lhs", "rhs", "w", "fine", "k.*")
+    hot = flat.groupBy("chunk", "key").agg((F.count_if("lhs") * F.count_if("rhs")).alias("pairs")).where(F.col("pairs") > HOT).select("chunk", "key")
     distance = sum((F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(CHUNKS)), F.lit(0))
-    met = a.join(b, ["chunk", "key"]).where((F.col("ea") | F.col("eb")) & (F.col("text") != F.col("other")) & (distance <= RADIUS))
-    return met.select("text", "other").distinct()
+    near = ((F.col("ga") == 0) | (F.col("gb") == 0)) & (F.col("text") != F.col("other")) & (distance <= RADIUS)
+
+    def sides(rows: DataFrame, on: list[str], more: str | None) -> DataFrame:
+        extra = lambda s: [F.col(more).alias(f"{more}{s}")] if more else []
+        a = rows.where("lhs").select(*on, F.col("gone").alias("ga"), "text", F.col("w").alias("wa"), *extra("a"))
+        b = rows.where("rhs").select(*on, F.col("gone").alias("gb"), F.col("text").alias("other"), F.col("w").alias("wb"), *extra("b"))
+        return a.join(b, on).where(near & (F.col("gone2a") + F.col("gone2b") <= 2) if more else near).select("text", "other")
+
+    cool = sides(flat.drop("fine").join(hot, ["chunk", "key"], "left_anti"), ["chunk", "key"], None)
+    split = flat.join(hot, ["chunk", "key"], "left_semi").withColumn("f", F.explode("fine")).where(F.col("f.chunk") != F.col("chunk"))
+    split = split.select("text", "lhs", "rhs", "w", "chunk", "key", "gone", F.col("f.chunk").alias("chunk2"), F.col("f.key").alias("key2"), F.col("f.gone").alias("gone2"))
+    return cool.unionByName(sides(split, ["chunk", "key", "chunk2", "key2"], "gone2")).distinct()
 
 
 def _anchored(strings: DataFrame) -> DataFrame:

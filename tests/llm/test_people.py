@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from fathomgrid.llm import people
 
 ATTRIBUTES = ["email", "name", "first_name", "last_name", "github_login", "slack_display_name", "slack_username", "jira_display_name"]
@@ -57,7 +59,9 @@ def test_namesakes_shared_mailboxes_and_scripts(spark):
         assert any(want <= g and not (g - want) & set(range(1, 13)) for g in got), want
 
 
-def test_near_pairs_are_exact(spark):
+@pytest.mark.parametrize("hot", [people.HOT, 0, 30])
+def test_near_pairs_are_exact(spark, hot, monkeypatch):
+    monkeypatch.setattr(people, "HOT", hot)
     r = random.Random(2)
     words = {"".join(r.choice("abcde") for _ in range(r.randint(4, 9))) for _ in range(150)}
     df = spark.createDataFrame([(w, True, True) for w in words], "text string, lhs boolean, rhs boolean")
