@@ -122,6 +122,8 @@ def spread(df: DataFrame) -> DataFrame:
     Tables with enough partitions, as all large ones have, are not shuffled.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df  # shuffled already; counting partitions would run its stages
     return df if df._jdf.rdd().getNumPartitions() >= want else df.repartition(want)
 
 
