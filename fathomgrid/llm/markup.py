@@ -63,7 +63,7 @@ _LINE = re.compile(
     r"|(?P<equals>={2,6})[ \t]*(?P<equals_t>[^=\s](?:.*[^=\s])?)[ \t]*=*[ \t]*"
     r"|(?P<section>\\(?:part|chapter|section|subsection|subsubsection|paragraph)\*?(?:\[[^\]]*\])?\{)(?P<section_t>.*)\}.*"
     r"|(?P<item>\\item\b)(?:\[[^\]]*\])?[ \t]*(?P<item_t>.*)"
-    r"|(?P<bullet>(?:[*]{1,6}|[-]{1,2}|[+•‣◦–]|#{1,6}(?=[*#-])[*#-]*))[ \t]+(?P<bullet_t>\S.*)"
+    r"|(?P<bullet>(?:[*]{1,6}|[-+•‣◦–]|#{1,6}(?=[*#-])[*#-]*))[ \t]+(?P<bullet_t>\S.*)"
     r"|(?P<number>\d{1,3}[.)]|\(?[a-z]\))[ \t]+(?P<number_t>\S.*)"
     r")$"
 )

@@ -341,7 +341,7 @@ def _anchored(strings: DataFrame) -> DataFrame:
     return rest.select(
         "form", "text",
         F.when(F.col("solid"), F.col("text")).when(F.col("anchor").isNotNull(), F.col("anchor")).when(F.col("form") == "full", F.col("text")).alias("anchor"),
-        F.when(F.col("anchor").isNotNull() & ~F.col("solid"), F.col("kind")).otherwise("same").alias("kind"), F.coalesce(F.when(~F.col("solid"), F.col("dice")), F.lit(1.0)).alias("dice"),
+        F.when(F.col("solid"), "same").when(F.col("anchor").isNotNull(), F.col("kind")).otherwise("own").alias("kind"), F.coalesce(F.when(~F.col("solid"), F.col("dice")), F.lit(1.0)).alias("dice"),
     ).where(F.col("anchor").isNotNull())
 
 
@@ -411,14 +411,18 @@ def match(people: DataFrame) -> DataFrame:
             rows = [(*x, a) for a in b.column(0).to_pylist() for x in _aliases(a)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["way", "alias", "anchor"])
 
-    solid = anchors.where("kind = 'same' and form = 'full'").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).select("anchor")
+    solid = anchors.where("kind in ('same', 'own') and form = 'full'").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).select("anchor")
     unique = solid.mapInArrow(aliases, "way string, alias string, anchor string").groupBy("way", "alias").agg(F.min("anchor").alias("anchor"), F.max("anchor").alias("other"))
     unique, _ = storage.materialise(unique.where("anchor = other").select("way", "alias", "anchor"), "aliases")
 
     tied = named.join(anchors, ["form", "text"]).select("rec_id", "source", "field", "form", "anchor", "kind", "dice")
     heard = named.where("form = 'sound'").join(unique.where("way = 'sound'").select(F.col("alias").alias("text"), "anchor"), "text", "left")
     heard = heard.select("rec_id", "source", "field", "form", F.coalesce("anchor", F.concat(F.lit("sound "), "text")).alias("anchor"), F.lit("sound").alias("kind"), F.lit(0.8).alias("dice"))
-    tied, _ = storage.materialise(tied.unionByName(heard), "tied")
+    tied = tied.unionByName(heard)
+    # a short or odd form says nothing where another attribute spells the name out
+    weak = F.col("kind").isin("short", "own")
+    spelled = tied.where("kind in ('same', 'joined')").select("rec_id").distinct()
+    tied, _ = storage.materialise(tied.where(~weak).unionByName(tied.where(weak).join(spelled, "rec_id", "left_anti")), "tied")
 
     loose = named.join(tied.select("rec_id").distinct(), "rec_id", "left_anti").select("rec_id", "source", "field", "form", "text")
     cut = loose.join(unique.select(F.col("way").alias("form"), F.col("alias").alias("text"), "anchor"), ["form", "text"])
@@ -427,7 +431,7 @@ def match(people: DataFrame) -> DataFrame:
 
     # confidence: how often ties of a kind agree with the address of the same record
     bucket = F.floor(F.col("dice") * 10)
-    by_mail = ties.where("field = 'email' and kind in ('same', 'joined')").groupBy("rec_id").agg(F.min("anchor").alias("mail_anchor"))
+    by_mail = ties.where("field = 'email' and kind in ('same', 'own', 'joined')").groupBy("rec_id").agg(F.min("anchor").alias("mail_anchor"))
     rated = ties.where("field <> 'email'").join(by_mail, "rec_id").groupBy("kind", bucket.alias("bucket")).agg(((F.count_if(F.col("anchor") == F.col("mail_anchor")) + 1) / (F.count(F.lit(1)) + 2)).alias("confidence"))
     prior = F.when(F.col("kind").isin("same", "joined"), 0.95).when(F.col("kind") == "cut", 0.6).otherwise(0.8)
     ties = ties.withColumn("bucket", bucket).join(rated, ["kind", "bucket"], "left").select("rec_id", "source", "anchor", F.coalesce("confidence", prior).alias("confidence"))
