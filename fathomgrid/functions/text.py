@@ -83,7 +83,7 @@ def retry_after(header: Column, now: Column) -> Column:
 
 def reset_wait(reset: Column, now: Column) -> Column:
     """Seconds until a reset with a margin of 5, at least 60; 300 where it is unknown."""
-    return F.coalesce(F.greatest(reset - now + 5, F.lit(60)), F.lit(300))
+    return F.when(reset.isNull(), 300).otherwise(F.greatest(reset - now + 5, F.lit(60)))
 
 
 def base64url(value: Column) -> Column:
