@@ -27,7 +27,7 @@ from fathomgrid import storage
 #: Three chunks of 64 bits; within radius 5 at least one chunk differs in no more than one bit.
 CHUNKS, CHUNK_BITS, RADIUS = 3, 64, 5
 #: A key under which more pairs than this would meet is split by a second chunk.
-HOT = 20_000
+HOT = 1_000_000
 #: A name part is common when this many records spell it so.
 COMMON = 2
 #: A spelling with a part this many times rarer than that of a near anchor is an error of it.
