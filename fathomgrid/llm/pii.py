@@ -13,6 +13,7 @@ import copy
 import random
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,13 +34,16 @@ OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 WINDOW, OVERLAP = 160, 40
 #: A word is common when it makes up this share of all words and occurs this often; so there are never more than the inverse of the share.
 SHARE, OFTEN = 1 / 40_000, 5
+#: A common word is the word of a name when it is decoded as part of one in this share of its occurrences.
+NAMED = 0.2
 
 _AT = r"(?:@|＠|%40|&#64;|\(at\)|\[at\])"
-_TOKEN = re.compile(
-    rf"https?://[^\s<>\"']+|(?:[\w%+-]|\.(?=\w))+{_AT}\w(?:[\w-]|\.(?=\w))*(?::[\w./~-]+)?|@[\w-]+/[\w.-]+"
-    r"|[+]?\d+(?:[.\-–]\d+)+|[+]\d+|\d+[^\W\d_]?(?=[^\w]|$)|[^\W_]+(?:[-’](?=\w)[^\W_]+|_[^\W_]+)*(?:['’](?=s\b))?|\n+|[^\w\s]|_+"
-)
+_REST = r"|[+]?\d+(?:[.\-–]\d+)+|[+]\d+|\d+[^\W\d_]?(?=[^\w]|$)|[^\W_]+(?:[-’](?=\w)[^\W_]+|_[^\W_]+)*(?:['’](?=s\b))?|\n+|[^\w\s]|_+"
+_TOKEN = re.compile(rf"https?://[^\s<>\"']+|(?:[\w%+-]|\.(?=\w))+{_AT}\w(?:[\w-]|\.(?=\w))*(?::[\w./~-]+)?|@[\w-]+/[\w.-]+" + _REST)
+#: The same for texts without any sign of a mail address.
+_PLAIN = re.compile(r"https?://[^\s<>\"']+" + _REST)
 _BREAK = re.compile(r"\n")
+_PART = re.compile(r"[^\W\d_]{2,}")
 
 # Words of which addresses are made.
 _STREET = frozenset("street st road rd avenue ave lane ln drive dr boulevard blvd way court ct place pl square sq terrace close crescent quay row rue calle avenida camino plaza via strasse straße str weg gasse allee platz chaussée chemin impasse ulitsa улица ул проспект пр переулок".split())
@@ -232,7 +236,7 @@ The report shows the old values after a restart.|The server drops the new page w
 
 def tokens(text: str) -> tuple[list[str], list[int]]:
     """Tokens of a text and where they start; breaks of lines are tokens, other white space is none."""
-    found = [(m.group(), m.start()) for m in _TOKEN.finditer(text)]
+    found = [(m.group(), m.start()) for m in (_TOKEN if re.search(_AT, text) else _PLAIN).finditer(text)]
     return [f[0] for f in found], [f[1] for f in found]
 
 
@@ -512,7 +516,7 @@ def _begin(kind: str, text: str, start: int) -> int:
 
 def _ordinary(value: str, before: str, usual: frozenset[str]) -> bool:
     """Whether a decoded name is made of common words only and nothing right before it announces a name."""
-    parts = re.findall(r"[^\W\d_]{2,}", value)
+    parts = _PART.findall(value)
     if not parts or not all(p.lower() in usual for p in parts):
         return False
     return not (all(p[0].isupper() for p in parts) and before.rstrip()[-1:] in tuple("@:=\"“„«(<"))
@@ -537,17 +541,28 @@ def _windows(words: list[str]) -> list[tuple[int, int]]:
     return parts
 
 
-def find(texts: list[str | None], field: Field) -> list[list[tuple[str, int, int]]]:
-    """Values in each text as (kind, start, end), in order."""
+def find(texts: list[str | None], field: Field, said: Counter[str] | None = None) -> list[list[tuple[str, int, int]]]:
+    """Values in each text as (kind, start, end), in order.
+
+    said: takes the counts of all tokens; names of common words then stay in,
+    and only sentences that hold a common word outside the vocabulary are decoded.
+    """
     sentences: list[list[str]] = []
     places: list[tuple[int, list[int]]] = []
     for i, text in enumerate(texts):
         if not text:
             continue
         words, starts = tokens(text)
+        if said is not None:
+            said.update(words)
         for a, b in _windows(words):
             sentences.append(words[a:b])
             places.append((i, starts[a:b]))
+    if said is not None:
+        asked = field.common - field.vocabulary
+        holds = {w for w in said if any(p in asked for p in _PART.findall(w.lower()))}
+        kept = [k for k, s in enumerate(sentences) if not holds.isdisjoint(s)]
+        sentences, places = [sentences[k] for k in kept], [places[k] for k in kept]
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     usual = field.common | field.vocabulary
     for words, (i, starts), labels in zip(sentences, places, field.decode(sentences)):
@@ -568,7 +583,7 @@ def find(texts: list[str | None], field: Field) -> list[list[tuple[str, int, int
                 e -= 1
             start, end = _begin(kind, texts[i], starts[k]), starts[e - 1] + len(words[e - 1].rstrip("'’"))  # type: ignore[arg-type]
             value = texts[i][start:end]  # type: ignore[index]
-            if _valid(kind, value) and not (kind == "person_name" and _ordinary(value, texts[i][max(0, start - 3) : start], usual)):  # type: ignore[index]
+            if _valid(kind, value) and not (kind == "person_name" and said is None and _ordinary(value, texts[i][max(0, start - 3) : start], usual)):  # type: ignore[index]
                 found[i].append((kind, start, end))
             k = e
     return found
@@ -604,16 +619,48 @@ def fields(tickets: DataFrame) -> DataFrame:
 def common_words(texts: DataFrame, column: str = "text") -> frozenset[str]:
     """Words that make up at least SHARE of all words of all texts, in lower case: no more than its inverse."""
     words = texts.select(F.explode(F.regexp_extract_all(F.lower(column), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
-    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counts, _ = storage.materialise(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     return frozenset(r[0] for r in counts.where(F.col("n") >= max(OFTEN, total * SHARE)).collect())
 
 
+def name_words(texts: DataFrame, field: Field, column: str = "text") -> frozenset[str]:
+    """Common words of the field outside its vocabulary that are words of names: decoded as part of a name in NAMED of their occurrences outside mail addresses.
+
+    A task gives at most one row for each common word.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(field)
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = shared.value
+        asked = field.common - field.vocabulary
+        total: Counter[str] = Counter()
+        named: Counter[str] = Counter()
+        for b in it:
+            own = b.column(0).to_pylist()
+            said: Counter[str] = Counter()
+            for text, values in zip(own, find(own, field, said)):
+                for kind, s, e in values:
+                    if kind == "person_name":
+                        named.update(p for p in _PART.findall(text[s:e].lower()) if p in asked)
+            for word, n in said.items():
+                if not re.search(_AT, word):
+                    for p in _PART.findall(word.lower()):
+                        if p in asked:
+                            total[p] += n
+        words = list(total)
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([named[w] for w in words], pa.int64()), pa.array([total[w] for w in words], pa.int64())], names=["w", "named", "n"])
+
+    counts = storage.spread(texts.select(column)).mapInArrow(batches, "w string, named long, n long").groupBy("w").agg(F.sum("named").alias("named"), F.sum("n").alias("n"))
+    return frozenset(r[0] for r in counts.where(F.col("named") >= F.col("n") * NAMED).collect())
+
+
 def _trained(texts: DataFrame) -> Field:
-    """The trained field with the common words of the texts."""
+    """The trained field with the common words of the texts, but for the words of names."""
     field = copy.copy(model())
     field.common = common_words(texts)
     field.types, field.table = {}, field.table[:, :0]
+    field.common -= name_words(texts, field)
     return field
 
 

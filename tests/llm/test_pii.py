@@ -75,3 +75,13 @@ def test_windows_lose_no_token():
     words = [r.choice(["a", "b", ".", "\n"]) for _ in range(3000)]
     covered = [i for a, b in pii._windows(words) for i in range(a, b)]
     assert covered == [i for i, w in enumerate(words) if w != "\n"]
+
+
+def test_names_said_often_stay_names(spark):
+    rest = ["The report shows the old values after a restart.", "A slow job hides the list for guest accounts.", "Our team checks the table with more than ten replies."]
+    said = ["Please ping Hadoro Velbalotani again.", "As discussed with Hadoro Velbalotani the fix can wait.", "Spoke with V. Branmitalund about the rollback."]
+    rows = [(i, "summary", -1, t) for i, t in enumerate((rest * 10 + said) * 8)]
+    texts = spark.createDataFrame(rows, "load_id long, field string, comment_pos int, text string")
+    assert {"hadoro", "velbalotani", "branmitalund"} <= pii.common_words(texts)
+    want = sorted((i, "person_name", t.index(v)) for i, _, _, t in rows for v in ("Hadoro", "V. B") if v in t)
+    assert sorted((r.load_id, r.kind, r.start_at) for r in pii.detect(texts).collect()) == want
