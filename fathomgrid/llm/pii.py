@@ -30,8 +30,8 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 SENTENCES, EPOCHS, SEED = 3600, 9, 29
 #: Neighbours whose attributes count.
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
-#: Tokens of a window in decoding; longer sentences are decoded in overlapping windows.
-WINDOW, OVERLAP = 160, 40
+#: Lines and padded tokens of a batch in decoding; a longer line is a batch of its own.
+LINES, PADDED = 256, 60_000
 #: A word is common when it makes up this share of all words and occurs this often; so there are never more than the inverse of the share.
 SHARE, OFTEN = 1 / 40_000, 5
 #: A common word is the word of a name when it is decoded as part of one in this share of its occurrences.
@@ -449,9 +449,10 @@ class Field:
         order = sorted((i for i in range(len(sentences)) if sentences[i]), key=lambda i: len(sentences[i]))
         at = 0
         while at < len(order):
-            longest = len(sentences[order[min(len(order) - 1, at + 255)]])
-            batch = order[at : at + max(16, min(256, 60_000 // max(1, longest)))]
-            at += len(batch)
+            end = at + 1
+            while end < len(order) and end - at < LINES and (end - at + 1) * len(sentences[order[end]]) <= PADDED:
+                end += 1
+            batch, at = order[at:end], end
             longest = len(sentences[batch[-1]])
             ids = np.full((len(batch), longest), empty)
             for k, i in enumerate(batch):
@@ -460,6 +461,8 @@ class Field:
             score = emit[:, 0] + self.begin
             back = np.zeros((len(batch), longest, len(LABELS)), np.int8)
             for t in range(1, longest):
+                if t % 64 == 0:
+                    score = score - score.max(1, keepdims=True)  # sums of long lines would lose their last digits
                 step = score[:, :, None] + self.pairs[None]
                 back[:, t] = step.argmax(1)
                 score_next = step.max(1) + emit[:, t]
@@ -523,22 +526,14 @@ def _ordinary(value: str, before: str, usual: frozenset[str]) -> bool:
 
 
 def _windows(words: list[str]) -> list[tuple[int, int]]:
-    """Sentences of a text as ranges of tokens: at breaks of lines and end marks; very long ones in windows that overlap."""
+    """Lines of a text as ranges of tokens; each is decoded whole, however long it is."""
     out, start = [], 0
     for i, w in enumerate(words):
         if w[0] == "\n":
             out.append((start, i))
             start = i + 1
     out.append((start, len(words)))
-    parts = []
-    for a, b in out:
-        while b - a > WINDOW:
-            cut = next((k + 1 for k in range(a + WINDOW - 1, a + WINDOW - OVERLAP, -1) if words[k] in ".!?。;"), a + WINDOW)
-            parts.append((a, cut))
-            a = cut
-        if b > a:
-            parts.append((a, b))
-    return parts
+    return [(a, b) for a, b in out if b > a]
 
 
 def find(texts: list[str | None], field: Field, said: Counter[str] | None = None) -> list[list[tuple[str, int, int]]]:
@@ -570,10 +565,10 @@ def find(texts: list[str | None], field: Field, said: Counter[str] | None = None
         marked = np.flatnonzero(labels)
         while len(marked) and k < len(words):
             if labels[k] == 0:
-                later = marked[marked > k]
-                if not len(later):
+                later = int(np.searchsorted(marked, k))
+                if later == len(marked):
                     break
-                k = int(later[0])
+                k = int(marked[later])
                 continue
             kind = LABELS[labels[k]][2:]
             e = k + 1

@@ -85,3 +85,17 @@ def test_names_said_often_stay_names(spark):
     assert {"hadoro", "velbalotani", "branmitalund"} <= pii.common_words(texts)
     want = sorted((i, "person_name", t.index(v)) for i, _, _, t in rows for v in ("Hadoro", "V. B") if v in t)
     assert sorted((r.load_id, r.kind, r.start_at) for r in pii.detect(texts).collect()) == want
+
+
+def test_long_lines_are_decoded_whole(field):
+    field.common, field.types = frozenset("report shows values after restart".split()), {}
+    field.table = field.table[:, :0]
+    for n in range(150, 170):
+        for fill in ("the report shows values after a restart ", "the report . shows values . after a restart "):
+            words = (fill * 40).split()[:n]
+            before = " ".join(words)
+            text = f"{before} Please ping V. Lomundar again and call +1 (415) 555-0132 if the job stops " + fill * 20
+            want = [("person_name", "V. Lomundar"), ("phone", "+1 (415) 555-0132")]
+            assert [(k, text[s:e]) for k, s, e in pii.find([text], field)[0]] == want, n
+    far = fill * 6000 + "Please ping V. Lomundar again"
+    assert [(k, far[s:e]) for k, s, e in pii.find([far], field)[0]] == want[:1]
