@@ -32,8 +32,8 @@ HOT = 1_000_000
 COMMON = 2
 #: A spelling with a part this many times rarer than that of a near anchor is an error of it.
 RARE = 10
-#: An address used by more records than one person has accounts, or by records of different names, is a shared mailbox.
-MAILBOX = 8
+#: An address is a shared mailbox when its records give more than two names and one in so many of the namings is not the most frequent name.
+CONTRADICT = 8
 #: Weight of each attribute's Dice score in the score of a pair.
 WEIGHTS = {"email": 3.0, "name": 2.5, "parts": 2.5, "slack_display_name": 2.0, "jira_display_name": 2.0, "github_login": 1.5, "slack_username": 1.5}
 
@@ -436,10 +436,14 @@ def match(people: DataFrame) -> DataFrame:
     prior = F.when(F.col("kind").isin("same", "joined"), 0.95).when(F.col("kind") == "cut", 0.6).otherwise(0.8)
     ties = ties.withColumn("bucket", bucket).join(rated, ["kind", "bucket"], "left").select("rec_id", "source", "anchor", F.coalesce("confidence", prior).alias("confidence"))
 
-    # a personal address: of few records, whose names do not contradict
+    # a personal address: of any number of records, whose names do not contradict
     mails = seen.where("form = 'address' and not role").select("rec_id", F.col("text").alias("mail"))
-    use = mails.join(tied.select("rec_id", "anchor").distinct(), "rec_id", "left").groupBy("mail").agg(F.countDistinct("rec_id").alias("n"), F.countDistinct("anchor").alias("names"))
-    personal = mails.join(use.where((F.col("n") > 1) & (F.col("n") <= MAILBOX) & (F.col("names") <= 2)).select("mail"), "mail")
+    said = mails.distinct().join(tied.select("rec_id", "anchor").distinct(), "rec_id", "left")
+    by_name = said.groupBy("mail", "anchor").agg(F.count(F.lit(1)).alias("n"), F.min("rec_id").alias("low"), F.max("rec_id").alias("high"))
+    named = F.col("anchor").isNotNull()
+    use = by_name.groupBy("mail").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("anchor").alias("names"), F.sum(F.when(named, F.col("n"))).alias("said"), F.max(F.when(named, F.col("n"))).alias("most"))
+    agree = (F.col("names") <= 2) | ((F.col("said") - F.col("most")) * CONTRADICT < F.col("said"))
+    personal = mails.join(use.where((F.col("low") < F.col("high")) & agree).select("mail"), "mail")
 
     node = F.concat(F.lit("r"), F.format_string("%020d", "rec_id"))
     edges = ties.select(node.alias("a"), F.concat(F.lit("s"), "anchor").alias("b")).unionByName(personal.select(node.alias("a"), F.concat(F.lit("m"), "mail").alias("b")))

@@ -74,3 +74,15 @@ def test_pairs_and_empty(spark):
     persons = spark.createDataFrame([(1, "a", "p", 1.0), (3, "b", "p", 0.5), (2, "a", "p", 1.0), (4, "b", "q", 1.0)], "rec_id long, source string, person string, confidence double")
     assert {tuple(r) for r in people.pairs(persons).collect()} == {(1, 3, 0.5), (2, 3, 0.5)}
     assert people.match(frame(spark, [])).count() == 0
+
+
+def test_large_groups_of_one_address(spark):
+    one = [(i, "github", {"email": "bytefox401@own.test", "github_login": f"bytefox{i}"}) for i in range(12)] + [(12, "slack", {"email": "BYTEFOX401@own.test", "name": "Kamira Branmitalund"})]
+    odd = {0: "Tarvin Okendenedal", 1: "Ylvora Casdevonko"}
+    copies = [(100 + i, "jira", {"email": "lynx77@own.test", "name": odd.get(i, "Petane Velneshadal")}) for i in range(30)] + [(130, "github", {"email": "lynx77@own.test"})]
+    shared = [(200 + i, "slack", {"email": "roof9@own.test", "name": n}) for i, n in enumerate(["Durvin Grurikuzu", "Hadoro Velbalotani", "Nephie Ingmibaberg"] * 4)] + [(220, "github", {"email": "roof9@own.test"})]
+    rows = [(i, s, *[a.get(c) for c in ATTRIBUTES]) for i, s, a in one + copies + shared]
+    df = spark.createDataFrame(rows, "rec_id long, source string, " + ", ".join(f"{c} string" for c in ATTRIBUTES))
+    person = {r.rec_id: r.person for r in people.match(df).collect()}
+    assert len({person[i] for i in range(13)}) == 1 and len({person[i] for i in range(100, 131)}) == 1
+    assert len({person[i] for i in (*range(200, 212), 220)}) == 4 and len(set(person.values())) == 6
