@@ -37,7 +37,7 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^<>]*>|<(/?)([a-
 _KNOWN = re.compile(r"</?(?:h[1-6]|ul|ol|li|dl|dt|dd|p|br|pre|code|div|span|table|tr|td|th|b|i|em|strong|a|blockquote|script|style|img|font|math|hr|sub|sup|u|s|del|ins)(?:\s[^<>]*)?/?>", re.I)
 _ESCAPED = re.compile(r"&lt;/?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"[a-z]+")
-_SUSPECT = re.compile(r"[\\$`{<~]|&lt;|^[ \t]*(?:[-*+#•‣◦=]|\d{1,3}[.)][ \t]|h[1-6]\.[ \t])|^[ \t]*[=-]{3,}[ \t]*$", re.M)
+_SUSPECT = re.compile(r"[\\$`{<~]|&lt;|^[ \t]*(?:[-*+#•‣◦=]|\d{1,18}[.)][ \t]|h[1-6]\.[ \t])|^[ \t]*[=-]{3,}[ \t]*$", re.M)
 # Environments and commands of LaTeX, macros of wikis.
 _REGION = re.compile(
     r"(?P<pre><pre\b[^<>]*>.*?</pre\s*>)"
@@ -53,7 +53,7 @@ _REGION = re.compile(
     r"|(?P<double>(?<![\\$])\$\$(?!\$)[^$]+?\$\$)"
     r"|(?P<bracket>\\\[.+?\\\])"
     r"|(?P<paren>\\\(.+?\\\))"
-    r"|(?P<dollar>(?<![\\$\w])\$(?=\S)[^$\n]{1,400}?(?<=\S)\$(?![\w$]))",
+    r"|(?P<dollar>(?<![\\$\w])\$(?=\S)[^$\n]+(?<=\S)\$(?![\w$]))",
     re.S | re.M,
 )
 _LINE = re.compile(
@@ -64,9 +64,10 @@ _LINE = re.compile(
     r"|(?P<section>\\(?:part|chapter|section|subsection|subsubsection|paragraph)\*?(?:\[[^\]]*\])?\{)(?P<section_t>.*)\}.*"
     r"|(?P<item>\\item\b)(?:\[[^\]]*\])?[ \t]*(?P<item_t>.*)"
     r"|(?P<bullet>(?:[*]{1,6}|[-+•‣◦–]|#{1,6}(?=[*#-])[*#-]*))[ \t]+(?P<bullet_t>\S.*)"
-    r"|(?P<number>\d{1,3}[.)]|\(?[a-z]\))[ \t]+(?P<number_t>\S.*)"
+    r"|(?P<number>\d{1,18}[.)]|\(?[a-z]\))[ \t]+(?P<number_t>\S.*)"
     r")$"
 )
+_NUMBERED = re.compile(r"^[ \t]*(?:>[ \t]*)*(\d{1,18})[.)][ \t]+\S", re.M)
 _UNDERLINE = re.compile(r"[ \t]*(=+|-{3,})[ \t]*$")
 _MATHS = re.compile(r"[\\^_=<>+*/]|\b[a-z]\b")
 
@@ -81,12 +82,13 @@ _HINTS = ("math", "latex", "tex", "code", "formula", "equation", "katex", "panel
 
 
 class Dom:
-    """A document's tree: per node tag, attribute tokens, parent and the texts and children in it in order."""
+    """A document's tree: per node tag, attribute tokens, parent and the texts and children in it in order; numbers that lines begin with."""
 
-    __slots__ = ("attrs", "items", "parents", "tags")
+    __slots__ = ("attrs", "items", "numbers", "parents", "tags")
 
     def __init__(self) -> None:
         self.tags, self.attrs, self.parents, self.items = ["#doc"], [""], [-1], [[]]
+        self.numbers: set[int] = set()
 
     def add(self, tag: str, parent: int, attrs: str = "", text: str = "") -> int:
         k = len(self.tags)
@@ -209,7 +211,7 @@ def _lines(dom: Dom, parent: int, text: str) -> None:
     """Add the lines of a running text below a node: what looks like a heading or a list item as nodes."""
     before: str | None = None
     for line in text.split("\n"):
-        if before is not None and before.strip() and _UNDERLINE.match(line) and not _LINE.match(before):
+        if before is not None and before.strip() and _UNDERLINE.match(line) and not _marked(dom, before):
             dom.add("~setext", parent, line.strip()[0] == "=" and "equals" or "", before.strip())
             before = None
             continue
@@ -220,8 +222,16 @@ def _lines(dom: Dom, parent: int, text: str) -> None:
         _line(dom, parent, before)
 
 
-def _line(dom: Dom, parent: int, line: str) -> None:
+def _marked(dom: Dom, line: str) -> re.Match[str] | None:
+    """A line's mark of a heading or an item. A number of four digits or more counts next to the one before or after it, else it is a year or an amount."""
     m = _LINE.match(line)
+    if m and m["number"] and len(number := m["number"][:-1]) > 3 and number.isdigit() and dom.numbers.isdisjoint((int(number) - 1, int(number) + 1)):
+        return None
+    return m
+
+
+def _line(dom: Dom, parent: int, line: str) -> None:
+    m = _marked(dom, line)
     if m and m.lastgroup:
         tag = m.lastgroup[:-2]
         dom.add("~" + tag, parent, "", m.group(m.lastgroup))
@@ -283,6 +293,7 @@ def read(text: str | None, field: str) -> Dom | None:
         read_adf(dom, 0, document)
     else:
         read_html(dom, 0, text)
+    dom.numbers = {int(n) for k, own in enumerate(dom.items) if dom.tags[k] not in _RAW for x in own if isinstance(x, str) for n in _NUMBERED.findall(x)}
     for k in range(len(dom.tags)):
         if dom.tags[k] in _RAW:
             continue

@@ -65,3 +65,12 @@ def test_rows(spark):
     clean = {(r.field, r.comment_pos): r.text for r in markup.clean(markup.fields(df)).collect()}
     assert clean == {("description_adf", -1): "- a b\n\n- c d", ("rendered_body", 0): "- x y", ("body_adf", 2): None}
     assert markup.elements(markup.fields(df.where("false"))).count() == 0
+
+
+def test_long_lists_and_long_formulas():
+    for line in ("\n", "<br/>"):
+        assert counts("<p>" + line.join(f"{n}. Step of the list" for n in range(990, 1021)) + "</p>") == (0, 31, 0, 0)
+    formula = "\\sqrt{" + " + ".join(f"x_{i}" for i in range(200)) + "}"
+    assert counts(f"<p>The bound is ${formula}$ here.</p>") == (0, 0, 0, 1)
+    for text in ("<p>We started in\n2019. It was a fine year.</p>", "<p>It costs\n15000. That is a lot.</p>", "<p>Cost rose from $5 " + "a good bit " * 60 + "to $9 per seat.</p>"):
+        assert counts(text) == (0, 0, 0, 0)
