@@ -52,7 +52,7 @@ _FENCE = re.compile(r"[ \t]*(`{3,}|~{3,})")
 _HEADING = re.compile(r"[ \t]{0,3}(?:#{1,6}[ \t]+\S|={2,6}[ \t]*[^\s=]|h[1-6]\.[ \t]+\S)")
 _UNDERLINE = re.compile(r"[ \t]*(?:={3,}|-{3,})[ \t]*$")
 _BULLET = re.compile(r"[ \t]*(?:>[ \t]*)*[-*+•‣◦▪·–][ \t]+\S")
-_NUMBER = re.compile(r"[ \t]*(?:>[ \t]*)*(?:\d{1,3}[.)]|[a-zA-Z]\)|#)[ \t]+\S")
+_NUMBER = re.compile(r"[ \t]*(?:>[ \t]*)*(?:(\d{1,18})[.)]|[a-zA-Z]\)|#)[ \t]+\S")
 _QUOTE = re.compile(r"[ \t]*(?:>[ \t]*)+")
 
 #: Scores of the parts; a span of average looks scores above zero, so cutting pays where nothing speaks against it.
@@ -233,6 +233,12 @@ def _lines(text: str) -> Iterator[tuple[int, int]]:
     yield start, len(text)
 
 
+def _numbered(line: str, numbers: set[int]) -> bool:
+    """Whether a line is an item with a number or letter. A number of four digits or more counts next to the one before or after it, else it is a year or an amount."""
+    m = _NUMBER.match(line)
+    return bool(m) and not (m[1] and len(m[1]) > 3 and numbers.isdisjoint((int(m[1]) - 1, int(m[1]) + 1)))
+
+
 def blocks(text: str) -> list[tuple[int, int, bool]]:
     """(start, end, whole) of the blocks of a text; a whole one is a single unit, others are paragraphs."""
     out: list[tuple[int, int, bool]] = []
@@ -240,6 +246,8 @@ def blocks(text: str) -> list[tuple[int, int, bool]]:
     end_at, in_list, fence, fence_at = 0, False, "", 0
     lines = list(_lines(text))
     fences = [bool(_FENCE.match(text, s, e)) for s, e in lines]
+    last = {text[s:e].strip()[:3]: k for k, (s, e) in enumerate(lines) if fences[k]}  # the last fence of each kind
+    numbers = {int(m[1]) for s, e in lines if (m := _NUMBER.match(text, s, e)) and m[1]}
 
     def close() -> None:
         nonlocal open_at
@@ -256,7 +264,7 @@ def blocks(text: str) -> list[tuple[int, int, bool]]:
             continue
         if fences[k] and (mark := _FENCE.match(line)):
             tick = mark.group(1)[:3]
-            if any(fences[i] and text[lines[i][0] : lines[i][1]].strip().startswith(tick) for i in range(k + 1, min(len(lines), k + 100_000))):
+            if last[tick] > k:
                 close()
                 fence, fence_at, in_list = tick, s, False
                 continue
@@ -270,7 +278,7 @@ def blocks(text: str) -> list[tuple[int, int, bool]]:
             in_list = False
             continue
         fresh = open_at is None
-        if (fresh or in_list or text[open_at:end_at].rstrip().endswith(":")) and (_BULLET.match(line) or _NUMBER.match(line)):
+        if (fresh or in_list or text[open_at:end_at].rstrip().endswith(":")) and (_BULLET.match(line) or _numbered(line, numbers)):
             close()
             out.append((s, e, True))
             in_list = True

@@ -42,3 +42,14 @@ def test_rows(spark):
     df = spark.createDataFrame([(1, "Ab cd. Ef gh.", 5), (2, None, 5), (3, " \n ", 5)], "doc_id long, text string, start_at int")
     assert sorted(map(tuple, sentences.split(df).collect())) == [(1, 0, 6), (1, 7, 13)]
     assert sentences.split(df.where("false")).count() == 0
+
+
+def test_long_code_blocks_and_long_lists():
+    code = "```\n" + "a = 1. Next b.\n\n" * 60_000 + "```"
+    text = f"Before it. More here.\n\n{code}\n\nAfter it."
+    assert [text[a:b] for a, b in sentences.units(text)] == ["Before it.", "More here.", code, "After it."]
+    items = [f"{n}. Open the page. Then close it." for n in range(995, 1011)]
+    text = "\n".join(items)
+    assert [text[a:b] for a, b in sentences.units(text)] == items
+    text = "2019. It was a good year. We left."
+    assert len(sentences.units(text)) > 1
