@@ -56,6 +56,20 @@ def embed(parents: DataFrame, children: DataFrame, key: str, name: str, order: s
     return out
 
 
+def thread_replies(messages: DataFrame, by: str) -> DataFrame:
+    """Parents of threads with their replies in `_replies`, by time: by, ts and the other columns.
+
+    messages: by, file_id, ts, thread_ts, parent_user_id and more. A message
+    that is its own thread's parent is no reply unless it has parent_user_id.
+    Replies without a landed parent have nowhere to go.
+    """
+    own = (F.col("ts") == F.col("thread_ts")) & (F.coalesce("parent_user_id", F.lit("")) == "")
+    replies = messages.where(F.col("thread_ts").isNotNull() & ~F.coalesce(own, F.lit(False)))
+    fields = [c for c in messages.columns if c not in (by, "ts", "file_id")]
+    arrays = replies.groupBy(by, F.col("thread_ts").alias("_ts")).agg(F.array_sort(F.collect_list(F.struct("ts", "file_id", *fields))).alias("_replies"))
+    return messages.join(arrays.withColumnRenamed("_ts", "ts"), [by, "ts"])
+
+
 def custom_fields(rows: DataFrame, key: str, fields: str) -> DataFrame:
     """Custom fields as rows: key, field, value."""
     return rows.select(key, F.explode(fields).alias("field", "value"))

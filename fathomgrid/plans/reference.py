@@ -164,6 +164,16 @@ def replies(spark, d):
     return t.select("load_id", "key", F.size("comments").alias("replies"), F.lit(True).alias("has_authors"))
 
 
+@query("ref_p10_thread_replies", """
+WITH m AS (SELECT file_id, target, content ->> '$.ts' AS ts, content ->> '$.thread_ts' AS thread_ts, content ->> '$.parent_user_id' AS parent_user_id, content ->> '$.text' AS body
+  FROM landed_files WHERE source = 'slack' AND contains(path, '/messages/') AND CASE WHEN json_valid(content) THEN json_type(content) = 'OBJECT' ELSE false END)
+SELECT p.file_id, p.target, p.ts, count(*)::INTEGER AS replies, list(r.file_id ORDER BY r.ts, r.file_id) AS reply_files, list(r.body ORDER BY r.ts, r.file_id) AS reply_texts
+FROM m p JOIN m r ON r.target = p.target AND r.thread_ts = p.ts AND (r.ts IS NULL OR r.ts <> r.thread_ts OR coalesce(r.parent_user_id, '') <> '') GROUP BY ALL""")
+def thread_replies(spark, d):
+    full = shaping.thread_replies(landed.messages(table(spark, d, "landed_files")), "target")
+    return full.select("file_id", "target", "ts", F.size("_replies").alias("replies"), F.col("_replies.file_id").alias("reply_files"), F.col("_replies.text").alias("reply_texts"))
+
+
 @query("ref_p17_status_rows", """
 SELECT save_id, split_part(job_id, '/', 1) AS exporter, CASE WHEN instr(job_id, '/') = 0 THEN '—' WHEN starts_with(job_id, 'github/') THEN replace(regexp_extract(job_id, '/(.*)', 1), '__', '/') ELSE regexp_extract(job_id, '/(.*)', 1) END AS target, coalesce(status, 'unknown') AS status FROM checkpoints""")
 def status_rows(spark, d):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,6 +130,27 @@ def is_skipped_drive(mime: Column) -> Column:
     return mime.isin(*[f"application/vnd.google-apps.{x}" for x in SKIPPED_DRIVE]) | mime.startswith("image/") | mime.startswith("video/")
 
 
+def messages(files: DataFrame) -> DataFrame:
+    """Chat messages of landed files that hold one complete JSON object: file_id, target, ts, thread_ts, parent_user_id, user, text."""
+    names = ("ts", "thread_ts", "parent_user_id", "user", "text")
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            rows = []
+            for i, text in enumerate(b.column(2).to_pylist()):
+                try:
+                    value = json.loads(text)
+                except ValueError:
+                    continue
+                if isinstance(value, dict):
+                    rows.append((i, *(None if value.get(n) is None else str(value[n]) for n in names)))
+            kept = b.take(pa.array([r[0] for r in rows], pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), *(pa.array([r[k] for r in rows], pa.string()) for k in range(1, 6))], names=["file_id", "target", *names])
+
+    found = files.where((F.col("source") == "slack") & F.contains("path", F.lit("/messages/")) & F.col("content").isNotNull())
+    return found.select(F.col("file_id").cast("long").alias("file_id"), "target", "content").mapInArrow(batches, "file_id long, target string, " + ", ".join(f"{n} string" for n in names))
+
+
 def json_fields(content: Column, schema: str) -> Column:
     """Fields of a JSON text by schema; null for broken ones."""
     return F.from_json(content, schema, {"mode": "PERMISSIVE"})

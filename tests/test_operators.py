@@ -162,3 +162,10 @@ def test_sources_and_sinks(spark, tmp_path):
     assert landed.read_days(spark, f"file://{tmp_path}/days", ["20251231", "20260101"]).count() == 3
     sinks.write_document(spark.range(1), f"file://{tmp_path}/one.json")
     assert (tmp_path / "one.json").read_text() == '{"id":0}'
+
+
+def test_thread_replies(spark):
+    rows = [(1, "c", "1.0", "1.0", None, "u", "parent"), (2, "c", "1.2", "1.0", "u", "v", "second"), (3, "c", "1.1", "1.0", None, "w", "first"), (4, "d", "1.1", "1.0", None, "w", "other channel"), (5, "c", "2.0", "2.0", "u", "u", "kept"), (6, "c", "3.0", None, None, "u", "alone")]
+    df = spark.createDataFrame(rows, "file_id long, target string, ts string, thread_ts string, parent_user_id string, user string, text string")
+    got = {r.file_id: [x.file_id for x in r["_replies"]] for r in shaping.thread_replies(df, "target").collect()}
+    assert got == {1: [3, 2], 5: [5]}
