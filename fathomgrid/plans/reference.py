@@ -362,6 +362,20 @@ def change_stats(spark, d):
     return stats.change_stats(o, "target").select("target", "total", "merged", "open", "closed")
 
 
+@query("ref_a3_change_sizes", """
+SELECT project_key AS target, count(*) AS total, count(*) FILTER (m) AS merged, count(*) FILTER (NOT m AND resolution IS NULL) AS open, count(*) FILTER (NOT m AND resolution IS NOT NULL) AS closed,
+  sum(coalesce(len([1 FOR x IN changelog IF x IS NOT NULL]), 0))::BIGINT AS total_reviews, sum(coalesce(len([1 FOR x IN attachments IF x IS NOT NULL]), 0))::BIGINT AS total_review_comments, sum(coalesce(len([1 FOR x IN comments IF x IS NOT NULL]), 0))::BIGINT AS total_comments,
+  sum(coalesce(attachments[1].size, 0))::BIGINT AS total_additions, sum(coalesce(attachments[2].size, 0))::BIGINT AS total_deletions, sum(coalesce(len(attachments), 0))::BIGINT AS total_changed_files
+FROM (SELECT *, coalesce(resolved::VARCHAR, '') <> '' AS m FROM tickets) GROUP BY 1""")
+def change_sizes(spark, d):
+    size = lambda i: F.get("attachments", F.lit(i))["size"]
+    t = table(spark, d, "tickets").select(
+        F.col("project_key").alias("target"), F.col("resolved").cast("string").alias("merged_at"), F.when(F.col("resolution").isNull(), "open").otherwise("closed").alias("state"),
+        F.col("changelog").alias("reviews"), F.col("attachments").alias("review_comments"), "comments", size(0).alias("additions"), size(1).alias("deletions"), F.when(F.col("attachments").isNotNull(), F.size("attachments")).alias("changed_files"),
+    )
+    return stats.change_stats(t, "target")
+
+
 @query("ref_a4_commit_stats", "SELECT event_type AS target, count(*) AS total, count(DISTINCT user_id) AS unique_authors, min(event_id) AS first_at, max(event_id) AS last_at FROM events GROUP BY 1")
 def commit_stats(spark, d):
     return stats.commit_stats(table(spark, d, "events").withColumnRenamed("event_type", "target"), "target", F.col("user_id"), F.col("event_id"))
