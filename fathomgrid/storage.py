@@ -2,8 +2,9 @@
 
 Everything that outlives a stage goes to the folder the cluster names in
 ``spark.checkpoint.dir``, which all executors share, so that the loss of an
-executor never loses it. Only where that setting is missing (tests, a single
-machine) a folder of our own is used.
+executor never loses it. Only on a single machine (tests) a folder of our own
+is used where that setting is missing. What is left of it when the driver ends
+is deleted then.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,19 +20,44 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session, without a trailing slash."""
+    """The shared folder of the session, without a trailing slash.
+
+    Without one a cluster is refused: its executors would write to disks of their own.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="fathomgrid-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/scratch-{spark.sparkContext.applicationId}"
+
+
+#: Applications whose scratch folder is marked for removal at their end.
+_marked: set[str] = set()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; nothing exists there yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; nothing exists there yet, and the end of the application removes what will."""
+    folder, app = _session_folder(spark), spark.sparkContext.applicationId
+    if app not in _marked:
+        fs, p = _fs(spark, folder)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _marked.add(app)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all scratch of the session now; results not stored elsewhere can't be read any more."""
+    for name in children(spark, _session_folder(spark)):
+        remove(spark, f"{_session_folder(spark)}/{name}")
 
 
 def _fs(spark: SparkSession, path: str) -> tuple[Any, Any]:
@@ -116,13 +143,24 @@ def materialise_counted(df: DataFrame, name: str, which: Column) -> tuple[DataFr
     return stored, path, int(seen.get["n"])
 
 
+def _plan_nodes(df: DataFrame) -> Iterator[str]:
+    """Names of the operators of a table's physical plan."""
+    todo = [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        yield name
+        inner = [node.inputPlan()] if name == "AdaptiveSparkPlan" else []
+        todo += inner + [node.children().apply(i) for i in range(node.children().size())]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over at least as many partitions as there are cores, for stages that compute more than they read.
 
     Tables with enough partitions, as all large ones have, are not shuffled.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if any("Exchange" in n or "Stage" in n for n in _plan_nodes(df)):
         return df  # shuffled already; counting partitions would run its stages
     return df if df._jdf.rdd().getNumPartitions() >= want else df.repartition(want)
 
