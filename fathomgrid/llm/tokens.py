@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 import regex
@@ -30,19 +31,20 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Characters after the end of a piece that its match may have looked at: the longest alternative is three long and starts with a piece of one.
 LOOK = 3
 
-#: Texts up to this length are encoded at once; longer ones are halved.
-LEAF = 1 << 15
+#: Texts are halved until the parts have no more characters than this.
+LEAF = 1024
+#: Pieces remembered with their ids, and the longest one that is.
+REMEMBERED, LONGEST = 1 << 17, 48
 
 #: A run of pieces: offset of each piece, its ids, and the length of the text.
 Part = tuple[list[int], list[list[int]], int]
 
 
 def _leaf(text: str, encode: Callable[[str], list[int]], split: regex.Pattern) -> Part:
-    starts, ids = [], []
-    for m in split.finditer(text):
-        starts.append(m.start())
-        ids.append(encode(m.group()))
-    return starts, ids, len(text)
+    """A text cut into pieces, which cover it without gaps, and encoded piece by piece."""
+    pieces = split.findall(text)
+    starts = list(accumulate(map(len, pieces), initial=0))
+    return starts[:-1], [encode(p) for p in pieces], len(text)
 
 
 def join(left: Part, right: Part, text: str, at: int, encode: Callable[[str], list[int]], split: regex.Pattern) -> Part:
@@ -88,7 +90,7 @@ def tree(text: str, encode: Callable[[str], list[int]], split: regex.Pattern, le
         middle = (a + b) // 2
         return join(part(a, middle), part(middle, b), text, a, encode, split)
 
-    return [i for ids in part(0, len(text))[1] for i in ids]
+    return list(chain.from_iterable(part(0, len(text))[1]))
 
 
 class Encoder:
@@ -100,14 +102,24 @@ class Encoder:
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
         self.core = tiktoken.Encoding("public", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
         self.split, self.leaf = regex.compile(SPLIT), leaf
+        self.known: dict[str, list[int]] = {}
+
+    def piece(self, text: str) -> list[int]:
+        """Ids of one piece; pieces of usual length are remembered."""
+        found = self.known.get(text)
+        if found is None:
+            found = self.core.encode_ordinary(text)
+            if len(text) <= LONGEST:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[text] = found
+        return found
 
     def ids(self, text: str | None) -> list[int]:
         """Ids without special tokens; null and empty texts have none."""
         if not text:
             return []
-        if len(text) <= self.leaf:
-            return self.core.encode_ordinary(text)
-        return tree(text, self.core.encode_ordinary, self.split, self.leaf)
+        return tree(text, self.piece, self.split, self.leaf)
 
     def text(self, ids: list[int]) -> str:
         return self.core.decode(ids)
