@@ -11,8 +11,10 @@ brackets in it.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections import deque
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,9 +47,13 @@ _CANDIDATE = re.compile(
     rf"|(?P<thai>(?<=[{_THAI}])(?=\s+(?:>\s*)?[{_THAI}]))"
 )
 _PAIRS = {"“": "”", "«": "»", "‹": "›", "(": ")", "[": "]", "（": "）", "「": "」", "『": "』", "《": "》", "【": "】"}
+_OPENS = {v: k for k, v in _PAIRS.items()}
 _OPEN = frozenset([*_PAIRS, "„", "‚", "\"", "¿", "¡", "'", "‘"])
 _TRACKED = re.compile("[“”„«»‹›()\\[\\]（）「」『』《》【】\"]")
-_WORD_BEFORE = re.compile(r"[^\s\"“”„«»()（）\[\]「」]*$")
+#: Characters at which a word begins, white space aside.
+_BREAKS = frozenset("\"“”„«»()（）[]「」")
+#: Opening marks that may stand before the first letter of a sentence.
+_OPENERS = "\"'“„«‹([¿¡「『（‘"
 _FENCE = re.compile(r"[ \t]*(`{3,}|~{3,})")
 _HEADING = re.compile(r"[ \t]{0,3}(?:#{1,6}[ \t]+\S|={2,6}[ \t]*[^\s=]|h[1-6]\.[ \t]+\S)")
 _UNDERLINE = re.compile(r"[ \t]*(?:={3,}|-{3,})[ \t]*$")
@@ -59,15 +65,44 @@ _QUOTE = re.compile(r"[ \t]*(?:>[ \t]*)+")
 END, WEAK, NEVER, BALANCE, OPENING, LOWER, SHORT, LONG_FROM, LONG = 3.0, 1.0, -8.0, -8.0, 0.5, -0.5, -0.5, 400, 0.004
 
 
-def _dot(before: str, after: str, text: str, at: int) -> float:
-    """Score of ending a sentence at a single dot; before: the word it closes, after: what follows the space."""
+def _word_before(text: str, at: int) -> str:
+    """The word that ends at `at`; empty after white space, a quotation mark or a bracket."""
+    begin = at
+    while begin and not (text[begin - 1].isspace() or text[begin - 1] in _BREAKS):
+        begin -= 1
+    return text[begin:at]
+
+
+def _back(text: str, at: int, also: str = "") -> int:
+    """The end of what stands before `at` without white space and the characters of `also`."""
+    while at and (text[at - 1].isspace() or text[at - 1] in also):
+        at -= 1
+    return at
+
+
+def _ahead(text: str, at: int, also: str = "") -> int:
+    """The place of the first character from `at` on that is neither white space nor one of `also`."""
+    while at < len(text) and (text[at].isspace() or text[at] in also):
+        at += 1
+    return at
+
+
+_LETTERS = re.compile(r"\w*")
+_CLOCK = re.compile(r"(?:^|[\s\d])[ap]\.?\s?m$")
+_LIST_END = re.compile(r"\bт\.\s*[дп]$")
+_DOTTED = re.compile(r"(?:\w\.)+\w")
+_DASH = re.compile(r"[—–-]\s")
+
+
+def _dot(text: str, at: int, after: int) -> float:
+    """Score of ending a sentence at the single dot at `at`; `after` is the place of what follows."""
+    before = _word_before(text, at)
     word = before.lower().lstrip("([{¿¡'‘’-–—")
-    first = after[:1]
+    first = text[after : after + 1]
     lower, digit = first.islower(), first.isdigit()
     if word.isdigit():
-        previous = _WORD_BEFORE.search(text[: at - len(before)].rstrip())
-        p = previous.group().lower() if previous else ""
-        following = re.match(r"\w*", after).group().lower()  # type: ignore[union-attr]
+        p = _word_before(text, _back(text, at - len(before))).lower()
+        following = _LETTERS.match(text, after).group().lower()  # type: ignore[union-attr]
         if following in MONTHS or (p in ORDINAL_BEFORE and len(word) <= 2 and first.isalpha()):
             return NEVER
         return WEAK if lower else END
@@ -78,56 +113,70 @@ def _dot(before: str, after: str, text: str, at: int) -> float:
     if word in INNER:
         return NEVER
     tail = text[max(0, at - 6) : at].lower()
-    if re.search(r"(?:^|[\s\d])[ap]\.?\s?m$", tail):
+    if _CLOCK.search(tail):
         return NEVER if lower else END
     if word in EITHER:
-        if re.search(r"\bт\.\s*[дп]$", tail) or word not in ("д", "др"):
+        if _LIST_END.search(tail) or word not in ("д", "др"):
             return NEVER if lower or digit else END
     if len(word) == 1 and word.isalpha():
         return NEVER
-    if re.fullmatch(r"(?:\w\.)+\w", word) and lower:
+    if lower and _DOTTED.fullmatch(word):
         return NEVER
     if word in NUMBERED and word not in ("no", "z", "art", "с", "п", "ст", "m"):
         return -END
     return WEAK if lower else END
 
 
-def _reported(text: str, end: int) -> bool:
-    """Whether the quotation that closes at `end` opened where a sentence starts, so that a report of who said it may follow."""
-    closer = text[end - 1]
-    opener = {v: k for k, v in _PAIRS.items()}.get(closer, closer)
-    begin = max(text.rfind(opener, 0, end - 1), text.rfind("„", 0, end - 1) if closer in "“”" else -1)
-    if begin < 0 or closer in ")]）]】":
-        return False
-    ahead = text[:begin].rstrip()
-    while ahead.endswith(">"):
-        ahead = ahead[:-1].rstrip()
-    return not ahead or ahead[-1] in ".!?…。！？।॥؟۔" + _CLOSERS
+class Marks:
+    """Places of quotation marks and brackets of a text."""
+
+    def __init__(self, text: str):
+        self.text, self.at = text, {}
+        for m in _TRACKED.finditer(text):
+            self.at.setdefault(m.group(), []).append(m.start())
 
+    def last(self, mark: str, before: int) -> int:
+        """The last place of a mark before a place, -1 for none."""
+        places = self.at.get(mark, [])
+        k = bisect_left(places, before)
+        return places[k - 1] if k else -1
 
-def _closing(kind: str, mark: str, text: str, at: int, end: int) -> float:
+    def reported(self, end: int) -> bool:
+        """Whether the quotation that closes at `end` opened where a sentence starts, so that a report of who said it may follow."""
+        closer = self.text[end - 1]
+        begin = self.last(_OPENS.get(closer, closer), end - 1)
+        if closer in "“”":
+            begin = max(begin, self.last("„", end - 1))
+        if begin < 0 or closer in ")]）]】":
+            return False
+        ahead = _back(self.text, begin, ">")
+        return not ahead or self.text[ahead - 1] in ".!?…。！？।॥؟۔" + _CLOSERS
+
+
+def _closing(kind: str, mark: str, marks: Marks, at: int, end: int) -> float:
     """Score of the closing at a candidate whose mark begins at `at` and ends at `end`."""
     if kind == "thai":
         return END
-    rest = text[end : end + 60].lstrip()
-    while rest.startswith(">"):
-        rest = rest[1:].lstrip()
+    text = marks.text
+    rest = _ahead(text, end, ">")
     bare = mark.rstrip(_CLOSERS + "  ›»")
     closed = len(bare) < len(mark)
-    first = rest.lstrip("\"'“„«‹([¿¡「『（‘")[:1]
-    if closed and rest and _reported(text, end) and not (rest[0].isupper() or rest[0] in _OPEN or rest[0].isdigit()):
+    next_char = text[rest : rest + 1]
+    after = _ahead(text, rest, _OPENERS) if next_char in _OPENERS else rest
+    first = text[after : after + 1]
+    if closed and next_char and marks.reported(end) and not (next_char.isupper() or next_char in _OPEN or next_char.isdigit()):
         return NEVER
     if kind == "wide":
-        if closed and rest[:1] in ("と", "て", "、", "，", "，"):
+        if closed and next_char in ("と", "て", "、", "，"):
             return NEVER
         return END
-    if closed and first.islower() and not rest[:1] in _OPEN:
+    if closed and first.islower() and next_char not in _OPEN:
         inside = mark[len(bare) :].strip()
         return NEVER if inside[:1] != ")" or bare[-1:] == "." else WEAK
-    if closed and re.match(r"[—–-]\s", rest):
+    if closed and _DASH.match(text, rest):
         return NEVER
     if bare == ".":
-        return _dot(_WORD_BEFORE.search(text[:at]).group(), rest.lstrip("\"'“„«‹([¿¡「『（‘"), text, at)  # type: ignore[union-attr]
+        return _dot(text, at, after)
     if bare in ("...", "…", "....") or set(bare) <= {".", "…"}:
         return -END if first.islower() else END
     return WEAK if first.islower() else END
@@ -139,8 +188,7 @@ def _straddled(text: str, cuts: list[int]) -> list[int]:
     A straight quote opens after space or an opening bracket, else it closes.
     """
     stacks: dict[str, list[int]] = {}
-    inside = [0] * len(cuts)
-    closes = {v: k for k, v in _PAIRS.items()}
+    change = [0] * (len(cuts) + 1)
     for m in _TRACKED.finditer(text):
         c, at = m.group(), m.start()
         if c == "\"":
@@ -153,17 +201,17 @@ def _straddled(text: str, cuts: list[int]) -> list[int]:
         elif c in _PAIRS:
             opens, kind = True, c
         else:
-            opens, kind = False, closes[c]
+            opens, kind = False, _OPENS[c]
         stack = stacks.setdefault(kind, [])
         if opens:
             stack.append(at)
         elif stack:
             begin = stack.pop()
-            for k in range(bisect_right(cuts, begin), bisect_right(cuts, at)):
-                inside[k] += 1
+            change[bisect_right(cuts, begin)] += 1
+            change[bisect_right(cuts, at)] -= 1
             if kind == "\"":
                 stack.clear()
-    return inside
+    return list(accumulate(change[:-1]))
 
 
 def _opening(text: str, start: int) -> float:
@@ -173,22 +221,53 @@ def _opening(text: str, start: int) -> float:
     return LOWER if c.islower() else OPENING
 
 
-def _length(n: int) -> float:
-    return (SHORT if n < 4 else 0.0) - (n - LONG_FROM) * LONG * (n > LONG_FROM)
+def _best_cuts(cuts: list[int], first: list[int], opening: list[float], close: list[float]) -> list[int]:
+    """For each cut the one where the best last span before it begins.
+
+    A span scores its opening, its closing and its length: short ones lose
+    SHORT, long ones LONG for each character over LONG_FROM. So the best begin
+    among far cuts is a running maximum, among near ones that of a sliding
+    window, and the time is linear in the cuts. Ties go to the nearest begin.
+    """
+    best, way = [0.0], [0]
+    window: deque[tuple[float, int]] = deque()
+    far, near, far_best = 0, 0, (float("-inf"), 0)
+    for j in range(1, len(cuts)):
+        end = cuts[j]
+        while near < j and end - first[near] >= 4:
+            value = best[near] + opening[near]
+            while window and window[-1][0] <= value:
+                window.pop()
+            window.append((value, near))
+            near += 1
+        while far < near and end - first[far] > LONG_FROM:
+            value = best[far] + opening[far] + LONG * first[far]
+            if value >= far_best[0]:
+                far_best = value, far
+            if window and window[0][1] == far:
+                window.popleft()
+            far += 1
+        top, at = far_best[0] - (end - LONG_FROM) * LONG, far_best[1]
+        if window and window[0][0] >= top:
+            top, at = window[0]
+        for i in range(near, j):
+            if best[i] + opening[i] + SHORT >= top:
+                top, at = best[i] + opening[i] + SHORT, i
+        best.append(top + close[j])
+        way.append(at)
+    return way
 
 
 def paragraph(text: str, a: int, b: int) -> list[tuple[int, int]]:
     """Spans of the sentences of text[a:b], which holds no blank line and no other block."""
     part = text[a:b]
-    marks = [m for m in _CANDIDATE.finditer(part)]
-    cuts, close = [0], [0.0]
-    for m in marks:
-        if m.end() < len(part.rstrip()):
-            s = _closing(m.lastgroup or "", m.group(), part, m.start(), m.end())
-            if s > NEVER:
-                cuts.append(m.end())
-                close.append(s)
+    marks = Marks(part)
     last = len(part.rstrip())
+    cuts, close = [0], [0.0]
+    for m in _CANDIDATE.finditer(part):
+        if m.end() < last:
+            cuts.append(m.end())
+            close.append(_closing(m.lastgroup or "", m.group(), marks, m.start(), m.end()))
     cuts.append(last)
     close.append(END)
     if len(cuts) == 2:
@@ -204,19 +283,7 @@ def paragraph(text: str, a: int, b: int) -> list[tuple[int, int]]:
     plain = [_QUOTE.match(part, s) for s in starts]
     first = [m.end() if m and m.end() < last else s for m, s in zip(plain, starts)]
     opening = [_opening(part, s) for s in first]
-    best, way, top = [0.0], [0], [0.0]
-    for j in range(1, len(cuts)):
-        top_score, top_i = float("-inf"), j - 1
-        for i in range(j - 1, -1, -1):
-            size = _length(cuts[j] - first[i])
-            if top[i] + size + OPENING + close[j] < top_score:
-                break  # longer spans only lose
-            s = best[i] + size + opening[i] + close[j]
-            if s > top_score:
-                top_score, top_i = s, i
-        best.append(top_score)
-        way.append(top_i)
-        top.append(max(top[-1], top_score))
+    way = _best_cuts(cuts, first, opening, close)
     spans, j = [], len(cuts) - 1
     while j > 0:
         i = way[j]
@@ -243,7 +310,7 @@ def blocks(text: str) -> list[tuple[int, int, bool]]:
     """(start, end, whole) of the blocks of a text; a whole one is a single unit, others are paragraphs."""
     out: list[tuple[int, int, bool]] = []
     open_at: int | None = None  # a paragraph in progress
-    end_at, in_list, fence, fence_at = 0, False, "", 0
+    end_at, open_line, in_list, fence, fence_at = 0, -1, False, "", 0
     lines = list(_lines(text))
     fences = [bool(_FENCE.match(text, s, e)) for s, e in lines]
     last = {text[s:e].strip()[:3]: k for k, (s, e) in enumerate(lines) if fences[k]}  # the last fence of each kind
@@ -278,7 +345,7 @@ def blocks(text: str) -> list[tuple[int, int, bool]]:
             in_list = False
             continue
         fresh = open_at is None
-        if (fresh or in_list or text[open_at:end_at].rstrip().endswith(":")) and (_BULLET.match(line) or _numbered(line, numbers)):
+        if (fresh or in_list or text[_back(text, end_at) - 1] == ":") and (_BULLET.match(line) or _numbered(line, numbers)):
             close()
             out.append((s, e, True))
             in_list = True
@@ -287,14 +354,14 @@ def blocks(text: str) -> list[tuple[int, int, bool]]:
             out.append((s, e, False))
             continue
         if fresh and k + 1 < len(lines) and _UNDERLINE.match(text[lines[k + 1][0] : lines[k + 1][1]]):
-            open_at, end_at = s, e
+            open_at, end_at, open_line = s, e, k
             continue
-        if not fresh and _UNDERLINE.fullmatch(line) and "\n" not in text[open_at:end_at]:
+        if not fresh and open_line == k - 1 and _UNDERLINE.fullmatch(line):
             out.append((open_at, e, True))  # type: ignore[arg-type]
             open_at = None
             continue
         if fresh:
-            open_at = s
+            open_at, open_line = s, k
         end_at = e
     if fence:
         out.append((fence_at, len(text), True))
