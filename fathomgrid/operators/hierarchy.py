@@ -126,11 +126,9 @@ def hierarchy(links: DataFrame, with_path: bool = False) -> DataFrame:
             "key", F.col("low").alias("root_key"), F.col("dist").alias("depth"), F.when(F.col("dist") == 0, 1).otherwise(2).alias("in_cycle"), *path
         )
         done = done.unionByName(cyclic)
-        used += more[:-1] + more2[:-1]
-    for p in used[:-1] if not left else []:
+        used = [*more[:-1], *more2[:-1], *used]
+    for p in (edges_at, *used[:-1]):
         storage.remove(spark, p)
-    if not left:
-        storage.remove(spark, edges_at)
     return done
 
 

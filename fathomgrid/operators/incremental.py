@@ -38,29 +38,32 @@ def _name(low: int) -> str:
 
 
 def watermark(spark: SparkSession, table: str) -> int:
-    """The highest sequence that committed batches cover."""
-    at = START
-    while (note := storage.read_text(spark, f"{table}/{_name(at)}/_watermark.json")) is not None:
-        at = json.loads(note)["high"]
-    return at
+    """The highest sequence that committed batches cover: that of the batch which begins last, as each begins where another ends."""
+    batches = storage.children(spark, table)
+    note = storage.read_text(spark, f"{table}/{batches[-1]}/_watermark.json") if batches else None
+    return json.loads(note)["high"] if note is not None else START
 
 
-def run(rows: DataFrame, table: str, sequence: str, process: Callable[[DataFrame], DataFrame]) -> Batch | None:
+def run(rows: DataFrame, table: str, sequence: str, process: Callable[..., DataFrame], history: bool = False) -> Batch | None:
     """Process the rows after the table's watermark and commit the output with the new one.
 
     sequence: a long column that only grows as rows are committed upstream.
     Rows with a null sequence are never committed upstream and are left out.
-    The upper bound is read once, before processing: rows that arrive meanwhile
-    wait for the next run. None when there is nothing new.
+    process: gets the new rows and, with history, all rows up to the upper
+    bound, for results that depend on older rows too. The upper bound is read
+    once, before processing: rows that arrive meanwhile wait for the next run.
+    None when there is nothing new. When processing fails nothing is committed,
+    and the next run takes the same rows again.
     """
     spark = rows.sparkSession
     low = watermark(spark, table)
     high = rows.where(F.col(sequence) > low).agg(F.max(sequence)).first()[0]
     if high is None:
         return None
-    bounded = rows.where((F.col(sequence) > low) & (F.col(sequence) <= high))
+    seen = rows.where(F.col(sequence) <= high)
     staged = storage.scratch(spark, "staged")
-    process(bounded).write.parquet(f"{staged}/rows")
+    new = seen.where(F.col(sequence) > low)
+    (process(new, seen) if history else process(new)).write.parquet(f"{staged}/rows")
     storage.write_text(spark, f"{staged}/_watermark.json", storage.dump_json({"low": low, "high": high}))
     final = f"{table}/{_name(low)}"
     return Batch(low, high, final, storage.publish(spark, staged, final))
@@ -68,10 +71,7 @@ def run(rows: DataFrame, table: str, sequence: str, process: Callable[[DataFrame
 
 def committed(spark: SparkSession, table: str) -> DataFrame | None:
     """All rows of committed batches; None when there is none yet."""
-    paths, at = [], START
-    while (note := storage.read_text(spark, f"{table}/{_name(at)}/_watermark.json")) is not None:
-        paths.append(f"{table}/{_name(at)}/rows")
-        at = json.loads(note)["high"]
+    paths = [f"{table}/{name}/rows" for name in storage.children(spark, table)]
     return spark.read.parquet(*paths) if paths else None
 
 
@@ -107,6 +107,13 @@ def phase_saves(checkpoints: DataFrame, system: str, phase: str) -> DataFrame:
     )
 
 
+def touched(new: DataFrame, seen: DataFrame) -> DataFrame:
+    """All rows seen of the keys, in normal form, that have a new row."""
+    key = normal_key(F.col("key"))
+    keys = new.select(key.alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    return seen.withColumn("_key", key).join(keys, "_key", "left_semi").drop("_key")
+
+
 def keys_to_process(tickets: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Keys whose latest row is not covered by their project's export runs.
 

@@ -49,7 +49,8 @@ def flatten(records: DataFrame, record_id: str) -> dict[str, DataFrame]:
     """Every repeated field, at any depth, as a table of its own.
 
     Keys of the result are schema paths such as `comments` or
-    `comments.reactions`; the root table has the key "". Columns: `_id` (the
+    `comments.reactions`; the root table has the key "", an array in an array
+    the path of the outer one with `.element`. Columns: `_id` (the
     record), `_label` (ordinals from 0, null elements counted), `_parent` (the
     label without its last ordinal), then the fields, nested structs joined by
     an underscore; elements that are no structs have the column `value`, maps
@@ -75,7 +76,7 @@ def flatten(records: DataFrame, record_id: str) -> dict[str, DataFrame]:
         parent = F.when(F.size("_label") > 0, F.slice("_label", 1, F.size("_label") - 1)).alias("_parent")
         if not isinstance(kind, T.StructType):
             if isinstance(kind, (T.ArrayType, T.MapType)):
-                grow(df, F.col("_v"), kind, at)
+                grow(df, F.col("_v"), kind, f"{at}.element")
                 out[at] = df.select("_id", "_label", parent)
             else:
                 out[at] = df.select("_id", "_label", parent, F.col("_v").alias("value"))
@@ -176,19 +177,59 @@ def tree_links(records: DataFrame, record_id: str, column: str) -> DataFrame:
     return records.select(F.col(record_id).cast("long").alias(record_id), column).where(F.col(record_id).isNotNull()).mapInArrow(batches, f"{record_id} long, pos int, parent_pos int")
 
 
-def children(records: DataFrame, record_id: str, array: str, child: str, unique: str | None = None) -> DataFrame:
-    """Elements of one array as rows record_id, child, pos, parent_pos (-1).
+def without_repeats(array: Column, field: str) -> Column:
+    """An array with null in place of elements that repeat the field of an earlier one.
 
-    pos counts all elements from 0; null elements give no row. With `unique`
-    only the first element of each value of that field stays; null and blank
-    values are no repetition. Only the needed field is read from storage. An
-    array column that is null or empty gives no rows.
+    Null and blank values are no repetition. Elements are sorted by the field
+    and back, so long arrays take no more than n log n steps.
     """
-    if unique is None:
-        kept = records.select(record_id, F.posexplode(F.transform(array, lambda x: x.isNotNull())).alias("pos", "is")).where("is")
-    else:
-        ids = F.transform(array, lambda x: x.getField(unique))
-        kept = records.select(record_id, ids.alias("_ids"), F.posexplode(F.transform(array, lambda x: F.struct(x.isNotNull().alias("is"), x.getField(unique).alias("u")))).alias("pos", "e")).where("e.is")
-        blank = F.coalesce(F.trim("e.u"), F.lit("")) == ""
-        kept = kept.where(blank | (F.array_position("_ids", F.col("e.u")) == F.col("pos") + 1))
-    return kept.select(record_id, F.lit(child).alias("child"), F.col("pos").cast("int").alias("pos"), F.lit(-1).alias("parent_pos"))
+    ranked = F.array_sort(F.transform(array, lambda x, i: F.struct(x.getField(field).alias("u"), i.alias("at"))))
+    shifted = F.concat(F.array(F.lit(None)), ranked)
+    blank = lambda c: F.coalesce(F.trim(c.cast("string")), F.lit("")) == ""
+    marked = F.zip_with(ranked, shifted, lambda s, before: F.when(s.isNotNull(), F.struct(s["at"].alias("at"), (blank(s["u"]) | before.isNull() | ~s["u"].eqNullSafe(before["u"])).alias("first"))))
+    back = F.array_sort(F.filter(marked, lambda m: m.isNotNull()))
+    return F.zip_with(array, back, lambda x, m: F.when(m["first"], x))
+
+
+def labels(records: DataFrame, record_id: str) -> DataFrame:
+    """Dewey labels of all elements of all repeated fields, at any depth, from one read of the records.
+
+    Columns: record_id, path (schema path such as `comments.reactions`), label
+    (ordinals from 0, null elements counted), parent (the label without its last
+    ordinal). Null elements give no row but keep their ordinal, null and empty
+    arrays give none. Nothing is shuffled.
+    """
+    kind = "array<struct<path:string,label:array<int>>>"
+    none = F.array().cast(kind)
+
+    def below(value: Column, dtype: T.DataType, at: str, label: Column) -> list[Column]:
+        if isinstance(dtype, T.StructType):
+            _, repeat = _atoms((), dtype)
+            return [c for p in repeat for c in below(_field(value, p), _kind(dtype, p), ".".join([x for x in (at, *p) if x]), label)]
+        if isinstance(dtype, T.MapType):
+            value, dtype = F.map_entries(value), T.ArrayType(T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)]))
+        if not isinstance(dtype, T.ArrayType):
+            return []
+
+        def element(x: Column, i: Column) -> Column:
+            own = F.concat(label, F.array(i))
+            row = F.array(F.struct(F.lit(at).alias("path"), own.alias("label"))).cast(kind)
+            inner = f"{at}.element" if isinstance(dtype.elementType, (T.ArrayType, T.MapType)) else at
+            return F.when(x.isNotNull(), F.concat(row, *below(x, dtype.elementType, inner, own))).otherwise(none)
+
+        return [F.coalesce(F.flatten(F.transform(value, element)), none)]
+
+    root = T.StructType([f for f in records.schema.fields if f.name != record_id])
+    found = below(F.struct(*[F.col(f"`{f.name}`") for f in root.fields]), root, "", F.array().cast("array<int>"))
+    nodes = records.select(F.col(record_id), F.explode(F.concat(*found) if found else none).alias("_n"))
+    return nodes.select(record_id, F.col("_n.path").alias("path"), F.col("_n.label").alias("label"), F.slice("_n.label", 1, F.size("_n.label") - 1).alias("parent"))
+
+
+def placed(labelled: DataFrame, record_id: str, names: dict[str, str]) -> DataFrame:
+    """Labels as rows record_id, child, pos, parent_pos: the last ordinal, and that of the parent, -1 for elements of the record itself.
+
+    names: the schema paths to keep, with the name of each in `child`.
+    """
+    child = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("path")]
+    own, parent = F.element_at("label", -1), F.coalesce(F.try_element_at("parent", F.lit(-1)), F.lit(-1))
+    return labelled.where(F.col("path").isin(*names)).select(record_id, child.alias("child"), own.alias("pos"), parent.alias("parent_pos"))

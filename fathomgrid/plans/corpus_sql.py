@@ -53,8 +53,7 @@ SELECT source, target, record_id, coalesce(arg_max(file_id, (modified_at, file_i
 FROM named WHERE record_id IS NOT NULL GROUP BY source, target, record_id HAVING count(file_id) <> 1
 """.replace("\\\\", "\\")
 
-P4 = f"""
-WITH {LATEST},
+SUCCESS = f"""
 saves AS (
   SELECT save_id, {_key("split_part(job_id, '/', 2)")} AS project, {time_sql('started_at')} AS started, {time_sql('updated_at')} AS saved,
     lower(trim(phases['tickets'].status)) AS status, {time_sql("phases['tickets'].cursor")} AS cursor_at, phases['tickets'].completed_ids AS ids
@@ -68,10 +67,27 @@ listed AS (
   SELECT s.project, s.started, s.saved, unnest(s.ids) AS id FROM saves s JOIN success ok ON s.project = ok.project AND s.saved > ok.saved),
 first_listed AS (
   SELECT project, started, {_key('id')} AS key, min(saved) AS seen FROM listed GROUP BY 1, 2, 3),
-taken AS (SELECT project, key, max(seen) AS seen FROM first_listed WHERE key IS NOT NULL GROUP BY 1, 2)
+taken AS (SELECT project, key, max(seen) AS seen FROM first_listed WHERE key IS NOT NULL GROUP BY 1, 2)"""
+
+DUE = """s.saved IS NULL OR l.updated IS NULL
+   OR ((l.updated > s.cursor_at OR coalesce(l.loaded_at > s.saved, false)) AND NOT coalesce(t.seen >= greatest(l.updated, l.loaded_at), false))"""
+
+P4 = f"""
+WITH {LATEST}, {SUCCESS}
 SELECT l.key AS key FROM latest l LEFT JOIN success s USING (project) LEFT JOIN taken t ON t.project = l.project AND t.key = l.key
-WHERE s.saved IS NULL OR l.updated IS NULL
-   OR ((l.updated > s.cursor_at OR coalesce(l.loaded_at > s.saved, false)) AND NOT coalesce(t.seen >= greatest(l.updated, l.loaded_at), false))
+WHERE {DUE}
+"""
+
+P4_RUNS = f"""
+WITH {LATEST.split("latest AS")[0].rstrip().rstrip(",")},
+bounds AS (SELECT min(load_id) + (max(load_id) - min(load_id)) * n // 3 AS high, min(load_id) - 1 + CASE n WHEN 1 THEN 0 ELSE 1 + (max(load_id) - min(load_id)) * (n - 1) // 3 END AS low, n
+  FROM tickets, (SELECT unnest([1, 2, 3]) AS n) GROUP BY n),
+seen AS (SELECT b.n AS run, p.*, p.load_id > b.low AS is_new FROM parsed p JOIN bounds b ON p.load_id <= b.high WHERE p.key IS NOT NULL),
+state AS (SELECT *, row_number() OVER (PARTITION BY run, key ORDER BY updated DESC NULLS LAST, load_id DESC) AS rn, bool_or(is_new) OVER (PARTITION BY run, key) AS touched FROM seen),
+{SUCCESS}
+SELECT CAST(l.run AS INTEGER) AS run, l.key AS key
+FROM (SELECT * FROM state WHERE rn = 1 AND touched) l LEFT JOIN success s USING (project) LEFT JOIN taken t ON t.project = l.project AND t.key = l.key
+WHERE {DUE}
 """
 
 P6 = """
@@ -100,7 +116,7 @@ SELECT c.load_id, 'adf_node', c.pos, coalesce(p.pos, -1)
 FROM placed c LEFT JOIN placed p ON p.load_id = c.load_id AND len(c.label) > 0 AND p.label = c.label[:-2]
 """
 
-P7 = f"""
+P7_WALK = f"""
 WITH RECURSIVE {LATEST},
 edges AS (SELECT l.key, p.key AS parent FROM latest l LEFT JOIN latest p ON l.parent = p.key),
 walk AS (
@@ -108,7 +124,10 @@ walk AS (
   UNION ALL
   SELECT w.start, e.parent, list_append(w.way, e.parent), list_contains(w.way, e.parent), list_position(w.way, e.parent) - 1
   FROM walk w JOIN edges e ON e.key = w.here WHERE NOT w.closed AND e.parent IS NOT NULL),
-ends AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY start ORDER BY len(way) DESC) AS rn FROM walk) WHERE rn = 1)
+ends AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY start ORDER BY len(way) DESC) AS rn FROM walk) WHERE rn = 1),
+paths AS (SELECT start AS key, list_reverse(CASE WHEN closed THEN way[:back + 1] ELSE way END) AS path, closed, back FROM ends)"""
+
+P7 = f"""{P7_WALK}
 SELECT start AS key,
   CASE WHEN closed THEN list_min(way[back + 1:]) ELSE here END AS root_key,
   CAST(CASE WHEN closed THEN back ELSE len(way) - 1 END AS INTEGER) AS depth,
@@ -116,4 +135,13 @@ SELECT start AS key,
 FROM ends
 """
 
-ORACLES = {"p2_found": P2, "p4_found": P4, "p6_found": P6, "p7_found": P7}
+P7_PATHS = f"""{P7_WALK}
+SELECT key, array_to_string(path, ' > ') AS path, CASE WHEN NOT closed THEN 0 WHEN back = 0 THEN 1 ELSE 2 END AS in_cycle FROM paths
+"""
+
+P7_DESCENDANTS = f"""{P7_WALK}
+SELECT path[i] AS ancestor, key AS descendant, CAST(len(path) - i AS INTEGER) AS distance
+FROM (SELECT key, path, unnest(range(1, len(path) + 1)) AS i FROM paths)
+"""
+
+ORACLES = {"p2_found": P2, "p4_found": P4, "p4_runs": P4_RUNS, "p6_found": P6, "p7_found": P7, "p7_paths": P7_PATHS, "p7_descendants": P7_DESCENDANTS}

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from fathomgrid.operators import nested
 
 
@@ -18,11 +20,30 @@ def test_flatten_keeps_links_and_ordinals(spark):
     assert {(r.key, r.value) for r in tables["m"].collect()} == {("k", 1)}
 
 
-def test_children_count_repeats_and_nulls(spark):
-    rows = [(1, [("a",), None, ("a",), ("",), ("",), (None,)]), (2, None), (3, [])]
+def test_repeats_and_nulls_keep_their_places(spark):
+    rows = [(1, [("a",), None, ("a",), ("",), ("",), (None,), ("b",), ("a",)]), (2, None), (3, [])]
     df = spark.createDataFrame(rows, "load_id long, c array<struct<id:string>>")
-    assert {r.pos for r in nested.children(df, "load_id", "c", "comment", "id").collect()} == {0, 3, 4, 5}
-    assert {r.pos for r in nested.children(df, "load_id", "c", "comment").collect()} == {0, 2, 3, 4, 5}
+    kept = df.withColumn("c", nested.without_repeats(F.col("c"), "id"))
+    found = lambda d: {(r.load_id, r.child, r.pos, r.parent_pos) for r in nested.placed(nested.labels(d, "load_id"), "load_id", {"c": "comment"}).collect()}
+    assert found(kept) == {(1, "comment", p, -1) for p in (0, 3, 4, 5, 6)}
+    assert found(df) == {(1, "comment", p, -1) for p in (0, 2, 3, 4, 5, 6, 7)}
+    assert kept.where("load_id > 1").select("c").collect() == df.where("load_id > 1").select("c").collect()
+
+
+def test_long_arrays_with_repeats(spark):
+    df = spark.range(1).select(F.col("id").alias("load_id"), F.transform(F.sequence(F.lit(0), F.lit(59_999)), lambda i: F.struct((i % 20_000).cast("string").alias("id"))).alias("c"))
+    kept = nested.labels(df.withColumn("c", nested.without_repeats(F.col("c"), "id")), "load_id")
+    assert kept.agg(F.count(F.lit(1)), F.max(F.col("label")[0])).first()[:] == (20_000, 19_999)
+
+
+def test_labels_of_all_depths_agree_with_the_tables(spark):
+    schema = "id long, path string, outer array<struct<a:string,inner:array<struct<b:int>>,m:map<string,array<int>>>>, w array<array<int>>"
+    rows = [(1, "x", [("p", [(1,), None, (3,)], {"k": [5, None]}), None, ("r", None, None)], [[1], None, [2, 3]]), (2, None, None, []), (3, None, [], None)]
+    df = spark.createDataFrame(rows, schema)
+    tables = nested.flatten(df, "id")
+    want = {(r._id, at, tuple(r._label), tuple(r._parent)) for at, t in tables.items() if at for r in t.collect()}
+    assert {(r.id, r.path, tuple(r.label), tuple(r.parent)) for r in nested.labels(df, "id").collect()} == want
+    assert nested.labels(df.select("id", "path"), "id").count() == 0
 
 
 def test_trees_in_text(spark):
