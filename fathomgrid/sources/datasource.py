@@ -1,36 +1,38 @@
-"""A Python data source for landed items: one JSON document per file, pages by cursor, batches and streams.
+"""A Python data source for landed items: one document per file, in batches and streams.
 
 spark.dataSource.register(LandedItems); spark.read.format("landed_items").load(folder).
-Options: suffix (.json), page (files per partition). A stream's offset is the
-last key it took, so a run goes on after it; keys sort by landing.
+Options: suffix (.json), page (files per partition). The folder is a local path
+or any address that Arrow's file systems read. Files are listed on the driver
+and read in the tasks. A stream goes by the time at which files landed: an item
+that lands later is taken whatever its key.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyarrow import fs
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "key string, content string"
 
 
-def _keys(folder: str, suffix: str, after: str = "") -> list[str]:
-    """Keys below a folder in order, after a given one; descriptions are no items."""
-    root = folder.removeprefix("file://")
-    found = []
-    for base, _, names in os.walk(root):
-        for n in names:
-            if n.endswith(suffix) and not n.startswith("_"):
-                key = os.path.relpath(os.path.join(base, n), root)
-                if key > after:
-                    found.append(key)
-    return sorted(found)
+def _open(folder: str) -> tuple[fs.FileSystem, str]:
+    if "://" in folder:
+        return fs.FileSystem.from_uri(folder)
+    return fs.LocalFileSystem(), folder.removeprefix("file:")
 
 
-def _read(folder: str, key: str) -> tuple[str, str]:
-    with open(os.path.join(folder.removeprefix("file://"), key), encoding="utf-8", errors="replace") as f:
-        return key, f.read()
+def _listed(folder: str, suffix: str) -> list[tuple[int, str]]:
+    """Landing time and key of the items of a folder, in order; descriptions are no items."""
+    system, root = _open(folder)
+    root = root.rstrip("/")
+    found = []
+    for info in system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True)):
+        name = info.path.rpartition("/")[2]
+        if info.is_file and name.endswith(suffix) and not name.startswith("_"):
+            found.append((info.mtime_ns or 0, info.path[len(root) + 1 :]))
+    return sorted(found)
 
 
 class Page(InputPartition):
@@ -38,32 +40,44 @@ class Page(InputPartition):
         self.keys = keys
 
 
-class LandedReader(DataSourceReader):
+class _Landed:
+    """Options, and reading of a page."""
+
     def __init__(self, options: dict):
         self.folder, self.suffix, self.page = options["path"], options.get("suffix", ".json"), int(options.get("page", 1000))
 
-    def partitions(self) -> list[InputPartition]:
-        keys = _keys(self.folder, self.suffix)
+    def pages(self, keys: list[str]) -> list[InputPartition]:
         return [Page(keys[i : i + self.page]) for i in range(0, len(keys), self.page)] or [Page([])]
 
-    def read(self, partition: Page) -> Iterator[tuple]:  # type: ignore[override]
+    def read(self, partition: Page) -> Iterator[tuple]:
+        system, root = _open(self.folder)
         for key in partition.keys:
-            yield _read(self.folder, key)
+            with system.open_input_stream(f"{root.rstrip('/')}/{key}") as f:
+                yield key, f.read().decode("utf-8", "replace")
 
 
-class LandedStream(SimpleDataSourceStreamReader):
-    def __init__(self, options: dict):
-        self.folder, self.suffix, self.page = options["path"], options.get("suffix", ".json"), int(options.get("page", 1000))
+class LandedReader(_Landed, DataSourceReader):
+    def partitions(self) -> list[InputPartition]:
+        return self.pages([k for _, k in _listed(self.folder, self.suffix)])
+
+
+class LandedStream(_Landed, DataSourceStreamReader):
+    """Offsets hold the latest landing time taken and the keys taken of that time, as several files can land in one tick."""
 
     def initialOffset(self) -> dict:  # noqa: N802
-        return {"after": ""}
+        return {"at": 0, "taken": []}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        keys = _keys(self.folder, self.suffix, start["after"])[: self.page]
-        return iter([_read(self.folder, k) for k in keys]), {"after": keys[-1] if keys else start["after"]}
+    def latestOffset(self) -> dict:  # noqa: N802
+        found = _listed(self.folder, self.suffix)
+        if not found:
+            return self.initialOffset()
+        at = found[-1][0]
+        return {"at": at, "taken": [k for t, k in found if t == at]}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
-        return iter([_read(self.folder, k) for k in _keys(self.folder, self.suffix, start["after"]) if k <= end["after"]])
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        before, last = set(start["taken"]), set(end["taken"])
+        new = [k for t, k in _listed(self.folder, self.suffix) if (t > start["at"] or t == start["at"] and k not in before) and (t < end["at"] or t == end["at"] and k in last)]
+        return self.pages(new)
 
 
 class LandedItems(DataSource):
@@ -77,5 +91,5 @@ class LandedItems(DataSource):
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
         return LandedReader(dict(self.options))
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:  # noqa: ANN001, N802
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: ANN001, N802
         return LandedStream(dict(self.options))

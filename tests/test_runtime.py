@@ -94,6 +94,26 @@ def test_landed_items_by_page_and_cursor(spark, tmp_path):
     assert sorted(got) == [f"{i}.json" for i in range(5)]
 
 
+def test_items_that_land_later_under_smaller_keys_are_taken_once(spark, tmp_path):
+    spark.dataSource.register(LandedItems)
+    (tmp_path / "in" / "b").mkdir(parents=True)
+    got = []
+
+    def go():
+        stream = spark.readStream.format("landed_items").load(f"file://{tmp_path}/in")
+        q = stream.writeStream.foreachBatch(lambda df, n: got.extend((r.key, r.content) for r in df.collect())).option("checkpointLocation", str(tmp_path / "cp")).start()
+        q.processAllAvailable()
+        q.stop()
+
+    (tmp_path / "in" / "m.json").write_text("1")
+    go()
+    (tmp_path / "in" / "a.json").write_text("2")
+    (tmp_path / "in" / "b" / "c.json").write_text("3")
+    go()
+    go()
+    assert sorted(got) == [("a.json", "2"), ("b/c.json", "3"), ("m.json", "1")]
+
+
 def test_command_line(spark, folder, tmp_path, capsys):
     assert __main__.main([]) == 0 and "p7_found" in capsys.readouterr().out
     assert __main__.main(["ref_s22_days", "--tables", folder, "--out", f"file://{tmp_path}"]) == 0
