@@ -7,7 +7,8 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Payment handles.
@@ -126,3 +127,56 @@ def dictionary_spans(text: str, automaton: object, longest: bool = False) -> lis
             kept.append(s)
             last = s.end
     return kept
+
+
+def resolved(found: Column) -> Column:
+    """An array of spans (start, end, score and more) without overlap: by start, then the longest, then the best score, from left to right. Stays in the JVM."""
+    order = F.array_sort(found, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).when(a["end"] != b["end"], b["end"] - a["end"]).when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).otherwise(0))
+    begin = F.struct(F.slice(found, 1, 0).alias("kept"), F.lit(0).alias("last"))
+    step = lambda s, x: F.when(x["start"] >= s["last"], F.struct(F.concat(s["kept"], F.array(x)).alias("kept"), x["end"].alias("last"))).otherwise(s)
+    return F.aggregate(order, begin, step)["kept"]
+
+
+#: Kinds of entries that a roster recognises in texts, and the least length of a value.
+ROSTER_KINDS, ROSTER_LEAST = ("PERSON", "EMAIL_ADDRESS", "GITHUB_LOGIN", "SLACK_USER_ID", "JIRA_ACCOUNT_ID"), 4
+
+
+def roster_entries(entries: DataFrame) -> DataFrame:
+    """Entries that a roster recognises: kind, value (lower case), once each, of the kind that comes first by id.
+
+    entries: id, entity_type, real_value.
+    """
+    kept = entries.where(F.col("entity_type").isin(*ROSTER_KINDS) & (F.length("real_value") >= ROSTER_LEAST))
+    return kept.groupBy(F.lower("real_value").alias("value")).agg(F.min_by("entity_type", "id").alias("kind")).select("kind", "value")
+
+
+def sweep_entries(entries: DataFrame, names: list[str], domains: list[str]) -> DataFrame:
+    """Entries safe to replace in raw bytes: real_value, masked_value. People and addresses of six characters or more, trimmed, without marks of markup, no company or domain, people of letters only."""
+    v = F.col("real_value")
+    usual = F.col("entity_type").isin("PERSON", "EMAIL_ADDRESS") & (F.length(v) >= 6) & (v == F.trim(v)) & ~v.rlike(r"[<>&;{}\[\]%#]") & ~F.lower(v).isin(*[x.lower() for x in (*names, *domains)])
+    return entries.where(usual & (F.contains(v, F.lit("@")) | v.rlike(r"^[A-Za-z][A-Za-z .'-]+$"))).select("real_value", "masked_value")
+
+
+def dictionary_hits(texts: DataFrame, keys: list[str], text: str, entries: list[tuple[str, str]]) -> DataFrame:
+    """Entries (kind, value) found in texts, case ignored, without overlap: the keys, kind, start, end.
+
+    The entries travel to the tasks as one automaton: give a list of bounded size.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(entries)
+    schema = ", ".join(f"{k} {dict(texts.dtypes)[k]}" for k in keys) + ", kind string, start int, end int"
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for kind, value in shared.value:
+            if value and value.lower() not in automaton:
+                automaton.add_word(value.lower(), (kind, len(value)))
+        if len(automaton):
+            automaton.make_automaton()
+        for b in it:
+            rows = [(i, s) for i, t in enumerate(b.column(len(keys)).to_pylist()) if t and len(automaton) for s in dictionary_spans(t, automaton)]
+            kept = b.take(pa.array([i for i, _ in rows], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns[: len(keys)], pa.array([s.kind for _, s in rows], pa.string()), pa.array([s.start for _, s in rows], pa.int32()), pa.array([s.end for _, s in rows], pa.int32())], names=[*keys, "kind", "start", "end"])
+
+    return texts.select(*keys, text).mapInArrow(batches, schema)

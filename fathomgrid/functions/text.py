@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,6 +18,14 @@ URL_CHAIN = [
     ("[cf]_sid=[0-9]+", "sid=0"),
     ("gad_source=[^&]+", "gad_source=0"),
 ]
+
+
+def url_chain(domain: str, masked: str, brand: str, masked_brand: str) -> list[tuple[str, str]]:
+    """The rules of page addresses, then those of a site: its name with hyphens as in caches, with and without www, its brand in titles, its domain."""
+    hyphens, other = domain.replace(".", "-"), masked.replace(".", "-")
+    return [*URL_CHAIN, (f"www-{hyphens}", f"www-{other}"), (hyphens, other), (brand, masked_brand), (re.escape(domain), masked)]
+
+
 # Style that only slows detection, removed before it.
 STYLE_CHAIN = [
     (r"(?s)<style[^>]*>.*?</style>", ""),
@@ -115,3 +125,20 @@ def short_login(first: Column, last: Column) -> Column:
 def percentage(part: Column, total: Column) -> Column:
     """Share in percent with two decimals; a total of 0 counts as 1."""
     return F.round(part / F.when(total == 0, F.lit(1)).otherwise(total) * 100, 2)
+
+
+def mail_key(key: Column, address: Callable[[Column], Column], literals: list[tuple[str, str]]) -> Column:
+    """A key whose second part is the slug of an address, with the address rewritten; other keys with the literal names replaced."""
+    parts = F.split(key, "/", 3)
+    slug_part = F.get(parts, F.lit(1))
+    masked = F.replace(address(F.replace(slug_part, F.lit("_at_"), F.lit("@"))), F.lit("@"), F.lit("_at_"))
+    mapped = (F.size(parts) == 3) & F.contains(slug_part, F.lit("_at_"))
+    return F.when(mapped, F.concat_ws("/", F.get(parts, F.lit(0)), masked, F.get(parts, F.lit(2)))).otherwise(literal_chain(key, literals))
+
+
+def holds_domain(value: Column, domains: list[str]) -> Column:
+    """Whether a text names one of a few domains, whatever the case."""
+    out = F.lit(False)
+    for d in domains:
+        out = out | F.contains(F.lower(value), F.lit(d.lower()))
+    return out

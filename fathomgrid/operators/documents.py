@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 ADDRESS_HEADERS = frozenset("from to cc bcc reply-to sender delivered-to return-path x-original-to x-forwarded-to envelope-to".split())
 SKIPPED_HEADERS = frozenset(
     "content-type content-transfer-encoding content-disposition mime-version content-id content-length received received-spf authentication-results arc-authentication-results arc-message-signature arc-seal dkim-signature domainkey-signature "
-    "message-id references in-reply-to x-google-dkim-signature x-gm-message-state x-google-smtp-source x-received x-ses-outgoing feedback-id".split()
+    "date x-mailer x-priority message-id references in-reply-to x-google-dkim-signature x-gm-message-state x-google-smtp-source x-received x-ses-outgoing feedback-id".split()
 )
 #: Elements that hold text in office documents, by the ending of the file.
 _TEXT = re.compile(r"(<(?:w:t|a:t|t)(?:\s[^<>]*)?>)([^<]*)(</(?:w:t|a:t|t)>)")
@@ -67,8 +67,8 @@ def mask_addresses(header: str, address: Callable[[str], str], name: Callable[[s
     return ", ".join(formataddr((name(n) if n else "", address(a) if a else "")) for n, a in getaddresses([header]))
 
 
-def mask_mail(raw: bytes, scan: Callable[[str], str], address: Callable[[str], str], name: Callable[[str], str]) -> bytes:
-    """A message with masked address headers, other headers and text bodies scanned; attachments stay."""
+def mask_mail(raw: bytes, scan: Callable[[str], str], address: Callable[[str], str], name: Callable[[str], str], literals: list[tuple[str, str]] = []) -> bytes:  # noqa: B006
+    """A message with masked address headers, other headers and text bodies scanned, then the literal names swept from the raw bytes; attachments stay."""
     message = email.message_from_bytes(bytes(raw), policy=email.policy.default)
     for header in list(dict.fromkeys(k.lower() for k in message.keys())):
         if header in SKIPPED_HEADERS:
@@ -80,7 +80,20 @@ def mask_mail(raw: bytes, scan: Callable[[str], str], address: Callable[[str], s
     for part in message.walk():
         if part.get_content_type() in ("text/plain", "text/html") and not part.get_filename():
             part.set_content(scan(part.get_content()), subtype=part.get_content_subtype())
-    return message.as_bytes()
+    return sweep(message.as_bytes(), literals)
+
+
+def header_kind(name: Column) -> Column:
+    """How a mail header is treated: `address`, `skipped` or `scanned`."""
+    low = F.lower(name)
+    return F.when(low.isin(*sorted(ADDRESS_HEADERS)), "address").when(low.isin(*sorted(SKIPPED_HEADERS)), "skipped").otherwise("scanned")
+
+
+def sweep(raw: bytes, literals: list[tuple[str, str]]) -> bytes:
+    """Raw bytes of a mail with domains and company names replaced wherever they stand; only names of fixed form are safe there."""
+    for old, new in literals:
+        raw = raw.replace(old.encode(), new.encode())
+    return raw
 
 
 def spread(text: str, lengths: list[int]) -> list[str]:
@@ -121,6 +134,15 @@ def mask_office(raw: bytes, scan: Callable[[str], str]) -> bytes:
     return out.getvalue()
 
 
+def package(parts: dict[str, str]) -> bytes:
+    """A document package of texts by entry name."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in parts.items():
+            z.writestr(name, content)
+    return out.getvalue()
+
+
 def package_entries(raw: bytes | None, pattern: str = "*") -> list[tuple[str, int]]:
     """Names and sizes of a package's entries that fit a pattern; none for what is no package."""
     try:

@@ -158,3 +158,41 @@ def map_addresses(rows: DataFrame, column: str, domain_map: DataFrame, out: str)
     value = F.col(column)
     found = rows.withColumn("_domain", F.lower(hashing.domain_part(value))).join(domains, "_domain", "left")
     return found.withColumn(out, hashing.email(value, F.coalesce("_mapped", hashing.domain_part(value)), hashing.ROSTER_SALT)).drop("_domain", "_mapped")
+
+
+#: Attributes by which a roster finds a person: whether case matters, and the masked attribute that stands in.
+LOOKUPS = {"email": (False, "email"), "name": (False, "name"), "github_login": (False, "github_login"), "slack_user_id": (True, "slack_user_id"), "jira_account_id": (True, "jira_account_id")}
+
+
+def roster_index(roster: DataFrame, by: str) -> DataFrame:
+    """Entries of a roster by an attribute: key and the masked attribute; of several entries of a key the last by id counts.
+
+    roster: id, real and masked (maps of attributes). Names are found by the
+    whole name and, where no entry has it, by given and family name; account
+    ids of tickets also by the one of the wiki.
+    """
+    exact, masked = LOOKUPS[by]
+    fold = (lambda c: c) if exact else F.lower
+    real = F.col("real")
+    full = F.concat_ws(" ", real["first_name"], real["last_name"])
+    ways = [(real[by], 1)]
+    if by == "name":
+        ways.append((F.when(~blank(real["first_name"]) & ~blank(real["last_name"]), full), 0))
+    if by == "jira_account_id":
+        ways.append((real["confluence_account_id"], 1))
+    rows = roster.select("id", F.col("masked")[masked].alias("masked"), F.explode(F.array(*[F.struct(fold(c).alias("key"), F.lit(p).alias("rank")) for c, p in ways])).alias("k")).select("id", "masked", "k.*")
+    return rows.where(~blank(F.col("key"))).groupBy("key").agg(F.max(F.struct("rank", "id", "masked")).alias("e")).select("key", "e.masked")
+
+
+def roster_lookup(rows: DataFrame, roster: DataFrame, by: str, value: Column, out: str) -> DataFrame:
+    """Rows with the stand-in of a person found in a roster, else a keyed hash; blank values pass, chat ids that are unknown too."""
+    exact, _ = LOOKUPS[by]
+    made = {"email": lambda c: hashing.email(c, hashing.domain_part(c), hashing.ROSTER_SALT), "name": lambda c: hashing.person(c, hashing.ROSTER_SALT), "github_login": lambda c: hashing.login(c, hashing.ROSTER_SALT), "slack_user_id": lambda c: c, "jira_account_id": lambda c: hashing.account(c, hashing.ROSTER_SALT)}
+    index = roster_index(roster, by).withColumnsRenamed({"key": "_key", "masked": "_masked"})
+    found = rows.withColumn("_key", value if exact else F.lower(value)).join(index, "_key", "left")
+    return found.withColumn(out, F.when(blank(value), value).otherwise(F.coalesce(F.when(~blank(F.col("_masked")), F.col("_masked")), made[by](value)))).drop("_key", "_masked")
+
+
+def entry_counts(entries: DataFrame) -> DataFrame:
+    """Distinct values, whatever their case, of each entity type: entity_type, n."""
+    return entries.where(~blank(F.col("real_value"))).groupBy("entity_type").agg(F.count_distinct(F.lower("real_value")).alias("n"))

@@ -99,3 +99,43 @@ def manifest(results: DataFrame) -> DataFrame:
 def timing(runs: DataFrame, by: str, seconds: str) -> DataFrame:
     """Mean and sample deviation of run times and items per second per group."""
     return runs.groupBy(by).agg(F.count(F.lit(1)).alias("runs"), F.round(F.avg(seconds), 6).alias("mean_s"), F.round(F.stddev_samp(seconds), 6).alias("stdev_s"), F.round(F.lit(1.0) / F.avg(seconds), 6).alias("per_second"))
+
+
+def page_stats(pages: DataFrame, by: str) -> DataFrame:
+    """Pages, comments and pages with comments, attachments got and failed with their bytes per space.
+
+    pages: comments (array), attachments (array of struct with size and failed).
+    """
+    got = lambda a: F.filter(a, lambda x: x.isNotNull() & ~F.coalesce(x["failed"], F.lit(False)))
+    size = F.aggregate(got(F.col("attachments")), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["size"], F.lit(0)))
+    zero = F.lit(0)
+    return pages.groupBy(by).agg(
+        F.count(F.lit(1)).alias("total_pages"), F.sum(length("comments")).alias("total_comments"), F.count_if(length("comments") > 0).alias("pages_with_comments"), F.sum(F.coalesce(F.size(got(F.col("attachments"))), zero)).alias("total_attachments"),
+        F.sum(length("attachments") - F.coalesce(F.size(got(F.col("attachments"))), zero)).alias("failed_attachments"), F.sum(F.coalesce(size, zero)).alias("total_attachment_size_bytes"),
+    )
+
+
+def day_stats(days: DataFrame) -> DataFrame:
+    """Days exported, rows and bytes of day tables. days: day, rows, bytes; days without rows were not exported."""
+    return days.where("rows is not null").agg(F.count(F.lit(1)).alias("days_exported"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"))
+
+
+def comment_stats(items: DataFrame, by: str) -> DataFrame:
+    """Comments and items with comments per target."""
+    return items.groupBy(by).agg(F.sum(length("comments")).alias("total"), F.count_if(length("comments") > 0).alias("items_with_comments"))
+
+
+def nested(**values: Column) -> Column:
+    """A statistics document of dotted paths (written with two underscores) and values."""
+    tree: dict = {}
+    for path, value in values.items():
+        *way, last = path.split("__")
+        at = tree
+        for name in way:
+            at = at.setdefault(name, {})
+        at[last] = value
+
+    def build(node: dict) -> Column:
+        return F.struct(*[(build(v) if isinstance(v, dict) else v).alias(n) for n, v in node.items()])
+
+    return build(tree)

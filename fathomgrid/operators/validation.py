@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fathomgrid.functions.text import holds_domain
 from fathomgrid.operators.compaction import readable
+from fathomgrid.operators.documents import read_mail
+from fathomgrid.operators.sampling import rank_key
 
 #: Values in one block of the dictionary: larger sets take several passes.
 BLOCK = 200_000
@@ -139,3 +142,33 @@ def report(findings: DataFrame, checks: list[str], most: int = 200) -> DataFrame
     return every.join(counts, "check", "left").join(top, "check", "left").select(
         "check", F.coalesce("findings", F.lit(0)).alias("findings"), F.coalesce("files", F.lit(0)).alias("files"), (F.coalesce("findings", F.lit(0)) == 0).alias("passed"), F.coalesce("examples", F.array().cast("array<struct<file:string,value:string>>")).alias("examples")
     )
+
+
+def leaking_keys(keys: DataFrame, key: str, domains: list[str]) -> DataFrame:
+    """Keys that still name a real domain."""
+    return keys.where(holds_domain(F.col(key), domains)).select(key)
+
+
+def broken_mail(mails: DataFrame, key: str, content: str) -> DataFrame:
+    """Mails without any header or body that can be read: key. Null and empty contents count as broken."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            parts = [read_mail(raw) for raw in b.column(1).to_pylist()]
+            bad = [p["error"] is not None or not (p["subject"] or p["sender"] or p["recipients"]) for p in parts]
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(bad, pa.bool_()))], names=[key])
+
+    return mails.select(key, F.col(content).cast("binary")).mapInArrow(batches, f"{key} {dict(mails.dtypes)[key]}")
+
+
+def audit_sample(files: DataFrame, key: str, content: str, most: int = 100, chars: int = 8000, seed: int = 42) -> DataFrame:
+    """A sample of files for a reader's audit: key and the beginning of the content. The sample is the same for the same seed."""
+    drawn = files.where(F.coalesce(content, F.lit("")) != "").orderBy(rank_key(seed, key)).limit(most)
+    return drawn.select(key, F.substring(content, 1, chars).alias("excerpt"))
+
+
+def audit_findings(answers: DataFrame, key: str, answer: str) -> DataFrame:
+    """Findings in a reader's answers, the first JSON array in each: key, type, value, context. Answers without a readable array give none."""
+    array = F.regexp_extract(answer, r"(?s)\[.*\]", 0)
+    found = F.from_json(array, "array<struct<type:string,value:string,context:string>>")
+    return answers.select(key, F.explode(found).alias("f")).select(key, "f.*").where(F.coalesce("value", F.lit("")) != "")

@@ -42,11 +42,6 @@ def people(spark: SparkSession, d: str) -> DataFrame:
 # scans and keys
 
 
-@query("ref_s1_list_keys", "SELECT substr(path, 6) AS key, size_bytes FROM landed_files WHERE path LIKE 'jira/%'")
-def list_keys(spark, d):
-    return table(spark, d, "landed_files").where(F.col("path").startswith("jira/")).select(F.substring("path", 6, 1 << 20).alias("key"), "size_bytes")
-
-
 @query("ref_s2_entities", "SELECT DISTINCT split_part(path, '/', 2) AS entity FROM landed_files")
 def entities(spark, d):
     return landed.entities(table(spark, d, "landed_files"), "path", 2)
@@ -60,9 +55,9 @@ def bounded_list(spark, d):
 @query("ref_s8_names_from_addresses", """
 SELECT email, CASE WHEN len(p) >= 2 THEN upper(p[1][1]) || lower(p[1][2:]) ELSE '' END AS first_name, CASE WHEN len(p) >= 2 THEN upper(p[-1][1]) || lower(p[-1][2:]) ELSE '' END AS last_name,
   trim(CASE WHEN len(p) >= 2 THEN upper(p[1][1]) || lower(p[1][2:]) ELSE '' END || ' ' || CASE WHEN len(p) >= 2 THEN upper(p[-1][1]) || lower(p[-1][2:]) ELSE '' END) AS name
-FROM (SELECT email, regexp_split_to_array(split_part(email, '@', 1), '[._]') AS p FROM people_slack WHERE email <> '')""")
+FROM (SELECT email, regexp_split_to_array(split_part(email, '@', 1), '[._]') AS p FROM ALLP WHERE email <> '')""".replace("ALLP", ALL_PEOPLE))
 def names_from_addresses(spark, d):
-    return landed.users_from_addresses(table(spark, d, "people_slack").where("email <> ''"), "email")
+    return landed.users_from_addresses(people(spark, d).where("email <> ''"), "email")
 
 
 @query("ref_s22_days", "SELECT strftime(x, '%Y%m%d') AS day FROM unnest(generate_series(DATE '2026-02-19', DATE '2026-03-04', INTERVAL 1 DAY)) t(x)")
@@ -95,10 +90,10 @@ def skipped_files(spark, d):
 # sinks
 
 
-@query("ref_k3_json_lines", "SELECT rec_id, email, name, sources FROM people_jira")
+@query("ref_k3_json_lines", f"SELECT rec_id, email, name, sources FROM {ALL_PEOPLE}")
 def json_lines(spark, d):
     path = storage.scratch(spark, "lines")
-    rows = table(spark, d, "people_jira").select("rec_id", "email", "name", "sources")
+    rows = people(spark, d).select("rec_id", "email", "name", "sources")
     sinks.write_lines(rows, path)
     return spark.read.schema(rows.schema).json(path)
 
@@ -151,19 +146,23 @@ def changelog(spark, d):
     return flat.select(F.col("_id").alias("load_id"), F.element_at("_label", -1).alias("pos"), "date", "author", "field", F.col("from").alias("old"), F.col("to").alias("new"))
 
 
-@query("ref_p9_document_text")
+@query("ref_p9_document_text", """
+WITH RECURSIVE documents_of AS (
+  SELECT load_id, CASE WHEN json_type(d) = 'VARCHAR' THEN CASE WHEN json_valid(d ->> '$') THEN (d ->> '$')::JSON END ELSE d END AS doc
+  FROM (SELECT load_id, CASE WHEN json_valid(description_adf) THEN description_adf::JSON END AS d FROM tickets)),
+tree AS (
+  SELECT load_id, []::INTEGER[] AS label, doc AS node FROM documents_of WHERE json_type(doc) = 'OBJECT'
+  UNION ALL
+  SELECT load_id, list_append(label, i::INTEGER), json_extract(node, '$.content[' || i || ']')
+  FROM (SELECT load_id, label, node, unnest(range(json_array_length(node, '$.content')::BIGINT)) AS i FROM tree WHERE json_type(node, '$.content') = 'ARRAY')
+  WHERE json_type(node, '$.content[' || i || ']') = 'OBJECT'),
+said AS (SELECT load_id, label, CASE node ->> '$.type' WHEN 'text' THEN node ->> '$.text' WHEN 'mention' THEN coalesce(nullif(node ->> '$.attrs.text', ''), node ->> '$.attrs.id') WHEN 'hardBreak' THEN chr(10) END AS said FROM tree)
+SELECT t.load_id, CASE WHEN s.load_id IS NULL THEN NULL ELSE coalesce(s.text, '') END AS text FROM tickets t LEFT JOIN (SELECT load_id, string_agg(said, '' ORDER BY label) AS text FROM said GROUP BY 1) s USING (load_id)""")
 def document_text(spark, d):
-    """Plain text of descriptions; checked in the tests."""
+    """Plain text of descriptions."""
     return table(spark, d, "tickets").select("load_id", shaping.document_text(F.col("description_adf")).alias("text"))
 
 
-@query("ref_p10_replies", """
-SELECT p.load_id AS load_id, p.key AS key, len(p.comments)::INTEGER AS replies, list_distinct([x.author FOR x IN p.comments IF x.author IS NOT NULL]) IS NOT NULL AS has_authors FROM tickets p WHERE p.comments IS NOT NULL""")
-def replies(spark, d):
-    t = table(spark, d, "tickets").where("comments is not null")
-    return t.select("load_id", "key", F.size("comments").alias("replies"), F.lit(True).alias("has_authors"))
-
-
 @query("ref_p10_thread_replies", """
 WITH m AS (SELECT file_id, target, content ->> '$.ts' AS ts, content ->> '$.thread_ts' AS thread_ts, content ->> '$.parent_user_id' AS parent_user_id, content ->> '$.text' AS body
   FROM landed_files WHERE source = 'slack' AND contains(path, '/messages/') AND CASE WHEN json_valid(content) THEN json_type(content) = 'OBJECT' ELSE false END)
@@ -188,50 +187,53 @@ def rewritten_keys(spark, d):
 
 
 @query("ref_p19_masked_strings", """
-SELECT rec_id, replace(email, 'harborworks', 'acme') AS email, replace(name, 'harborworks', 'acme') AS name, [replace(s, 'harborworks', 'acme') FOR s IN sources] AS sources FROM people_slack""")
+SELECT rec_id, replace(email, 'harborworks', 'acme') AS email, replace(name, 'harborworks', 'acme') AS name, [replace(s, 'harborworks', 'acme') FOR s IN sources] AS sources FROM ALLP""".replace("ALLP", ALL_PEOPLE))
 def masked_strings(spark, d):
-    rows = table(spark, d, "people_slack").select("rec_id", "email", "name", "sources")
+    rows = people(spark, d).select("rec_id", "email", "name", "sources")
     return masking.mask_columns(rows, {}, lambda c: F.replace(c, F.lit("harborworks"), F.lit("acme")))
 
 
-@query("ref_p20_organisation_names", "SELECT rec_id, replace(replace(replace(email, 'harborworks', 'acme'), 'Harborworks', 'Acme'), 'HARBORWORKS', 'ACME') AS email FROM people_jira WHERE email <> ''")
+@query("ref_p20_organisation_names", f"SELECT rec_id, replace(replace(replace(email, 'harborworks', 'acme'), 'Harborworks', 'Acme'), 'HARBORWORKS', 'ACME') AS email FROM {ALL_PEOPLE} WHERE email <> ''")
 def organisation_names(spark, d):
-    return table(spark, d, "people_jira").where("email <> ''").select("rec_id", text.literal_chain(F.col("email"), text.cased("harborworks", "acme")).alias("email"))
+    return people(spark, d).where("email <> ''").select("rec_id", text.literal_chain(F.col("email"), text.cased("harborworks", "acme")).alias("email"))
 
 
 # detection in text
 
 
-def _comments(spark, d):
-    return table(spark, d, "tickets").select("load_id", F.posexplode("comments.body_text").alias("pos", "text")).where("text is not null")
+def texts(spark, d):
+    """All free texts of tickets: load_id, field, pos (-1 outside comments), text."""
+    one = lambda n, pos, c: F.struct(F.lit(n).alias("field"), pos.alias("pos"), c.alias("text"))
+    own = F.array(*[one(n, F.lit(-1), F.col(n)) for n in ("summary", "description_text")])
+    said = F.transform("comments", lambda c, i: one("body_text", i, c["body_text"]))
+    return table(spark, d, "tickets").select("load_id", F.explode(F.concat(own, F.coalesce(said, F.slice(own, 1, 0)))).alias("t")).select("load_id", "t.*").where("text is not null")
 
 
-COMMENTS = "(SELECT load_id, (i - 1)::INTEGER AS pos, c.body_text AS text FROM (SELECT load_id, unnest(comments) AS c, generate_subscripts(comments, 1) AS i FROM tickets) WHERE c.body_text IS NOT NULL)"
+TEXTS = """(SELECT load_id, 'summary' AS field, -1 AS pos, summary AS text FROM tickets WHERE summary IS NOT NULL UNION ALL SELECT load_id, 'description_text', -1, description_text FROM tickets WHERE description_text IS NOT NULL
+UNION ALL SELECT load_id, 'body_text', (i - 1)::INTEGER, c.body_text FROM (SELECT load_id, unnest(comments) AS c, generate_subscripts(comments, 1) AS i FROM tickets) WHERE c.body_text IS NOT NULL)"""
 
 
 def _recognised(kind: str):
     def run(spark, d):
-        return _comments(spark, d).select("load_id", "pos", F.explode(recognizers.matches(F.col("text"), kind)).alias("found"))
+        return texts(spark, d).select("load_id", "field", "pos", F.explode(recognizers.matches(F.col("text"), kind)).alias("found"))
 
     return run
 
 
-for _kind, _sql in {
-    "EMAIL_ADDRESS": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", "IP_ADDRESS": r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "US_SSN": r"\b\d{3}-\d{2}-\d{4}\b", "IN_AADHAAR": r"\b[2-9]\d{3}\s?\d{4}\s?\d{4}\b", "IN_PAN": r"\b[A-Z]{5}[0-9]{4}[A-Z]\b", "IN_IFSC": r"\b[A-Z]{4}0[A-Z0-9]{6}\b",
-}.items():
-    query(f"ref_t1_{_kind.lower()}", f"SELECT load_id, pos, unnest(regexp_extract_all(text, '(?i){_sql}')) AS found FROM {COMMENTS}")(_recognised(_kind))
+for _kind in ("EMAIL_ADDRESS", "IP_ADDRESS", "US_SSN", "IN_AADHAAR"):
+    query(f"ref_t1_{_kind.lower()}", f"SELECT load_id, field, pos, unnest(regexp_extract_all(text, '(?i){recognizers.BY_KIND[_kind].regex}')) AS found FROM {TEXTS}")(_recognised(_kind))
 
 
 @query("ref_t4_spans")
 def spans(spark, d):
-    """Resolved spans of all recognizers in comments; checked in the tests."""
-    return _comments(spark, d).select("load_id", "pos", F.explode(recognizers.spans(F.col("text"))).alias("s")).select("load_id", "pos", "s.*")
+    """Resolved spans of all recognizers in the texts; the patterns are checked by ref_t1, the resolution by ref_t4_resolved, both together in the tests."""
+    return texts(spark, d).select("load_id", "field", "pos", F.explode(recognizers.spans(F.col("text"))).alias("s")).select("load_id", "field", "pos", "s.*")
 
 
-@query("ref_t6_domain_replace", f"SELECT load_id, pos, md5(replace(replace(text, 'harborworks.example', 'acme.test'), 'Harborworks.example', 'Acme.test')) AS digest FROM {COMMENTS}")
+@query("ref_t6_domain_replace", f"SELECT load_id, field, pos, md5(replace(replace(text, 'harborworks.example', 'acme.test'), 'Harborworks.example', 'Acme.test')) AS digest FROM {TEXTS}")
 def domain_replace(spark, d):
     masked = text.literal_chain(F.col("text"), [("harborworks.example", "acme.test"), ("Harborworks.example", "Acme.test")])
-    return _comments(spark, d).select("load_id", "pos", F.md5(masked).alias("digest"))
+    return texts(spark, d).select("load_id", "field", "pos", F.md5(masked).alias("digest"))
 
 
 @query("ref_t11_css_strip", r"""
@@ -242,14 +244,30 @@ def css_strip(spark, d):
     return html.select("load_id", "pos", F.length(text.chain(F.col("html"), text.STYLE_CHAIN)).alias("n"))
 
 
+LEAK_VALUES = f"""
+SELECT DISTINCT 'email' AS kind, lower(email) AS value FROM {ALL_PEOPLE} WHERE length(email) >= 5
+UNION SELECT DISTINCT 'name', lower(name) FROM {ALL_PEOPLE} WHERE length(name) >= 8 AND contains(name, ' ')"""
+
+
+def _entries(spark, d):
+    one = lambda k, c: F.struct(F.lit(k).alias("entity_type"), F.col(c).alias("real_value"))
+    kinds = F.array(one("EMAIL_ADDRESS", "email"), one("PERSON", "name"), one("GITHUB_LOGIN", "github_login"), one("SLACK_USER_ID", "slack_user_id"), one("JIRA_ACCOUNT_ID", "jira_account_id"))
+    return people(spark, d).select(F.col("rec_id").alias("id"), F.lit("roster_import").alias("source"), F.explode(kinds).alias("e")).select("id", "source", "e.*").where("real_value <> ''")
+
+
+@query("ref_f8_leak_values", LEAK_VALUES)
+def leak_values(spark, d):
+    return validation.leak_values(_entries(spark, d))
+
+
 @query("ref_t15_leaks", f"""
-SELECT t.load_id AS load_id, t.pos AS pos, v.value AS value FROM {COMMENTS} t JOIN (
-  SELECT DISTINCT lower(email) AS value FROM {ALL_PEOPLE} WHERE length(email) >= 5) v ON contains(lower(t.text), v.value)""")
+SELECT t.load_id, t.field, t.pos, v.kind, v.value FROM {TEXTS} t JOIN ({LEAK_VALUES}) v ON contains(lower(t.text), v.value)
+WHERE v.kind = 'email' OR regexp_matches(' ' || lower(t.text) || ' ', '[^\\p{{L}}\\p{{N}}]' || regexp_escape(v.value) || '[^\\p{{L}}\\p{{N}}]')""".replace("\\\\", "\\"))
 def leaks(spark, d):
-    entries = people(spark, d).select(F.lit("EMAIL_ADDRESS").alias("entity_type"), F.col("email").alias("real_value"), F.lit("roster_import").alias("source"))
-    texts = _comments(spark, d).select(F.concat_ws(":", "load_id", "pos").alias("key"), "text")
-    found = validation.leaks(texts, "key", "text", validation.leak_values(entries))
-    return found.select(F.split_part("key", F.lit(":"), F.lit(1)).cast("long").alias("load_id"), F.split_part("key", F.lit(":"), F.lit(2)).cast("int").alias("pos"), "value")
+    rows = texts(spark, d).select(F.concat_ws(":", "load_id", "field", "pos").alias("key"), "text")
+    found = validation.leaks(rows, "key", "text", validation.leak_values(_entries(spark, d)))
+    part = lambda n: F.split_part("key", F.lit(":"), F.lit(n))
+    return found.select(part(1).cast("long").alias("load_id"), part(2).alias("field"), part(3).cast("int").alias("pos"), "kind", "value")
 
 
 @query("ref_t16_unreadable", "SELECT doc_id, regexp_full_match(trim(coalesce(text, '')), '(?i)[0-9a-f]{20,}') AS unreadable FROM documents")
@@ -262,9 +280,9 @@ def broken_json(spark, d):
     return validation.broken_json(table(spark, d, "landed_files"), "file_id", "content")
 
 
-@query("ref_t18_leaking_keys", "SELECT path, contains(lower(path), 'harb') AS leaking FROM landed_files")
+@query("ref_t18_leaking_keys", "SELECT path FROM landed_files WHERE contains(lower(path), 'harb') OR contains(lower(path), 'c0web')")
 def leaking_keys(spark, d):
-    return table(spark, d, "landed_files").select("path", F.contains(F.lower("path"), F.lit("harb")).alias("leaking"))
+    return validation.leaking_keys(table(spark, d, "landed_files"), "path", ["Harb", "C0WEB"])
 
 
 # joins
@@ -278,13 +296,16 @@ def identity_lookup(spark, d):
     return identity.lookup(table(spark, d, "tickets").select("load_id", "assignee_email"), entries, "EMAIL_ADDRESS", F.col("assignee_email"), F.lit("unknown"), "masked").select("load_id", "masked")
 
 
-@query("ref_j2_get_or_create", f"""
-SELECT 'JIRA_ACCOUNT_ID' AS entity_type, min(v) AS real_value, 'mask-' || substr(sha256('pii-store:' || min(v)), 1, 8) AS masked_value FROM (
-  SELECT reporter_account_id AS v FROM tickets WHERE reporter_account_id <> '') WHERE lower(v) NOT IN (SELECT lower(jira_account_id) FROM people_jira WHERE jira_account_id <> '') GROUP BY lower(v)""")
+@query("ref_j2_get_or_create", """
+WITH seen AS (SELECT 'JIRA_ACCOUNT_ID' AS kind, reporter_account_id AS v FROM tickets UNION ALL SELECT 'EMAIL_ADDRESS', assignee_email FROM tickets UNION ALL SELECT 'PHONE_NUMBER', load_id::VARCHAR FROM tickets),
+old AS (SELECT 'JIRA_ACCOUNT_ID' AS kind, lower(jira_account_id) AS k FROM people_jira UNION ALL SELECT 'EMAIL_ADDRESS', lower(email) FROM people_slack),
+fresh AS (SELECT kind, min(v) AS v FROM seen WHERE v <> '' AND NOT EXISTS (SELECT 1 FROM old WHERE old.kind = seen.kind AND old.k = lower(seen.v)) GROUP BY kind, lower(v))
+SELECT kind AS entity_type, v AS real_value, CASE kind WHEN 'JIRA_ACCOUNT_ID' THEN 'mask-' || substr(sha256('pii-store:' || v), 1, 8) WHEN 'PHONE_NUMBER' THEN '[PHONE-' || substr(sha256('pii-store:' || v), 1, 6) || ']' ELSE '[EMAIL_ADDRESS-' || substr(sha256('pii-store:' || v), 1, 8) || ']' END AS masked_value FROM fresh""")
 def get_or_create(spark, d):
-    kind = F.lit("JIRA_ACCOUNT_ID").alias("entity_type")
-    entries = table(spark, d, "people_jira").where("jira_account_id <> ''").select(kind, F.col("jira_account_id").alias("real_value"), F.lit("x").alias("masked_value"))
-    return identity.get_or_create(entries, table(spark, d, "tickets").select(kind, F.col("reporter_account_id").alias("real_value")))
+    one = lambda k, c: F.struct(F.lit(k).alias("entity_type"), F.col(c).cast("string").alias("real_value"))
+    known = table(spark, d, "people_jira").select(one("JIRA_ACCOUNT_ID", "jira_account_id").alias("e")).unionByName(table(spark, d, "people_slack").select(one("EMAIL_ADDRESS", "email").alias("e")))
+    seen = table(spark, d, "tickets").select(F.explode(F.array(one("JIRA_ACCOUNT_ID", "reporter_account_id"), one("EMAIL_ADDRESS", "assignee_email"), one("PHONE_NUMBER", "load_id"))).alias("e")).select("e.*")
+    return identity.get_or_create(known.select("e.*").withColumn("masked_value", F.lit("x")), seen)
 
 
 PERSON_SQL = f"""
@@ -320,27 +341,30 @@ def incremental_roster(spark, d):
     return identity.incremental_roster(existing, table(spark, d, "people_slack").select("email"))
 
 
-@query("ref_j7_resume", """
-SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT load_id FROM tickets)""")
+@query("ref_j7_resume", f"""
+WITH {LATEST}, done AS (SELECT DISTINCT nullif(upper(regexp_replace(k, '^\\s+|\\s+$', '', 'g')), '') AS key FROM (SELECT unnest(phases['tickets'].completed_ids) AS k FROM checkpoints))
+SELECT key FROM latest WHERE key NOT IN (SELECT key FROM done WHERE key IS NOT NULL)""".replace("\\\\", "\\"))
 def resumed(spark, d):
-    return resume.remaining(table(spark, d, "documents").select("doc_id"), "doc_id", table(spark, d, "tickets").select(F.col("load_id").alias("doc_id")))
+    keys = table(spark, d, "tickets").select(normal_key(F.col("key")).alias("key")).where("key is not null").distinct()
+    return resume.remaining(keys, "key", resume.completed_items(table(spark, d, "checkpoints"), "tickets"))
 
 
 @query("ref_j8_index_keys", """
-SELECT DISTINCT source || '/' || target || '/' || k AS key FROM (
-  SELECT source, target, unnest(json_extract_string(content, '$.keys[*]')) AS k FROM landed_files WHERE source = 'jira' AND path LIKE '%/_index.json' AND json_valid(content))""")
+WITH entries AS (SELECT regexp_replace(path, '/[^/]*$', '') AS base, unnest(CASE WHEN source = 'jira' THEN json_extract_string(content, '$.keys[*]') ELSE json_extract_string(content, '$[*]') END) AS name FROM landed_files
+  WHERE lower(source) IN ('jira', 'slack') AND path LIKE '%/\\_index.json' ESCAPE '\\' AND CASE WHEN json_valid(content) THEN json_type(content) = CASE WHEN source = 'jira' THEN 'OBJECT' ELSE 'ARRAY' END ELSE false END)
+SELECT DISTINCT base || '/' || name || '.json' AS key, (base || '/' || name || '.json') IN (SELECT path FROM landed_files) AS exists FROM entries WHERE trim(name) <> ''""".replace("\\\\", "\\"))
 def index_keys(spark, d):
-    index = table(spark, d, "landed_files").where("source = 'jira'").where(F.col("path").endswith("/_index.json"))
-    keys = index.select("source", "target", F.explode(landed.json_fields(F.col("content"), "keys array<string>")["keys"]).alias("k"))
-    return keys.select(F.concat_ws("/", "source", "target", "k").alias("key")).distinct()
+    files = table(spark, d, "landed_files")
+    indexes = files.where(F.col("path").endswith("/_index.json")).select("source", F.regexp_replace("path", "/[^/]*$", "").alias("base"), "content")
+    return landed.existing(landed.index_keys(indexes), files.select(F.col("path").alias("key")))
 
 
-@query("ref_j12_masked_addresses", """
+@query("ref_j12_masked_addresses", f"""
 SELECT rec_id, CASE WHEN email = '' OR email IS NULL THEN email WHEN contains(email, '@') THEN substr(sha256('pii-mask-fallback-v1:' || regexp_replace(email, '@[^@]*$', '')), 1, 8) || '@' || coalesce(m.masked, regexp_extract(email, '@([^@]*)$', 1)) ELSE substr(sha256('pii-mask-fallback-v1:' || email), 1, 12) END AS masked
-FROM people_github LEFT JOIN (SELECT * FROM (VALUES ('harborworks.example', 'acme.test'), ('mailnest.test', 'box.test')) v(real, masked)) m ON m.real = lower(regexp_extract(email, '@([^@]*)$', 1))""")
+FROM {ALL_PEOPLE} LEFT JOIN (SELECT * FROM (VALUES ('harborworks.example', 'acme.test'), ('mailnest.test', 'box.test')) v(real, masked)) m ON m.real = lower(regexp_extract(email, '@([^@]*)$', 1))""")
 def masked_addresses(spark, d):
     domains = spark.createDataFrame([("harborworks.example", "acme.test"), ("mailnest.test", "box.test")], "real_domain string, masked_domain string")
-    return identity.map_addresses(table(spark, d, "people_github").select("rec_id", "email"), "email", domains, "masked").select("rec_id", "masked")
+    return identity.map_addresses(people(spark, d).select("rec_id", "email"), "email", domains, "masked").select("rec_id", "masked")
 
 
 # aggregations
@@ -351,17 +375,6 @@ def count_maps(spark, d):
     return stats.histogram(table(spark, d, "tickets"), F.col("issue_type"), ["project_key"])
 
 
-@query("ref_a3_change_stats", """
-SELECT o_orderpriority AS target, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS merged, count(*) FILTER (o_orderstatus = 'O') AS open, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS closed FROM orders GROUP BY 1""")
-def change_stats(spark, d):
-    empty = F.array().cast("array<string>")
-    o = table(spark, d, "orders").select(
-        F.col("o_orderpriority").alias("target"), F.when(F.col("o_orderstatus") == "F", "x").alias("merged_at"), F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("state"),
-        empty.alias("reviews"), empty.alias("review_comments"), empty.alias("comments"), F.lit(0).alias("additions"), F.lit(0).alias("deletions"), F.lit(0).alias("changed_files"),
-    )
-    return stats.change_stats(o, "target").select("target", "total", "merged", "open", "closed")
-
-
 @query("ref_a3_change_sizes", """
 SELECT project_key AS target, count(*) AS total, count(*) FILTER (m) AS merged, count(*) FILTER (NOT m AND resolution IS NULL) AS open, count(*) FILTER (NOT m AND resolution IS NOT NULL) AS closed,
   sum(coalesce(len([1 FOR x IN changelog IF x IS NOT NULL]), 0))::BIGINT AS total_reviews, sum(coalesce(len([1 FOR x IN attachments IF x IS NOT NULL]), 0))::BIGINT AS total_review_comments, sum(coalesce(len([1 FOR x IN comments IF x IS NOT NULL]), 0))::BIGINT AS total_comments,
@@ -397,10 +410,14 @@ def file_endings(spark, d):
 
 
 @query("ref_a12_summary", """
-SELECT 'jira' AS exporter, unnest(['targets', 'total', 'comments']) AS measure, unnest([count(*), sum(n)::BIGINT, sum(c)::BIGINT]) AS value FROM (SELECT project_key, count(*) AS n, sum(coalesce(len([1 FOR x IN comments IF x IS NOT NULL]), 0)) AS c FROM tickets GROUP BY 1)""")
+SELECT 'jira' AS exporter, unnest(['targets', 'total', 'comments']) AS measure, unnest([count(*), sum(n)::BIGINT, sum(c)::BIGINT]) AS value FROM (SELECT project_key, count(*) AS n, sum(coalesce(len([1 FOR x IN comments IF x IS NOT NULL]), 0)) AS c FROM tickets GROUP BY 1)
+UNION ALL SELECT 'slack', unnest(['targets', 'total']), unnest([count(*), sum(n)::BIGINT]) FROM (SELECT target, count(*) AS n FROM landed_files WHERE source = 'slack' GROUP BY 1)
+UNION ALL SELECT 'github', unnest(['targets', 'total']), unnest([count(*), sum(n)::BIGINT]) FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)""")
 def summary(spark, d):
-    per = stats.ticket_stats(table(spark, d, "tickets"), "project_key").select(F.col("total_tickets").alias("total"), F.col("total_comments").alias("comments"))
-    return catalog.summary({"jira": per}, {"jira": ["total", "comments"], "slack": ["total"]})
+    jira = stats.ticket_stats(table(spark, d, "tickets"), "project_key").select(F.col("total_tickets").alias("total"), F.col("total_comments").alias("comments"))
+    slack = table(spark, d, "landed_files").where("source = 'slack'").groupBy("target").agg(F.count(F.lit(1)).alias("total"))
+    github = stats.commit_stats(table(spark, d, "events"), "event_type", F.col("user_id"), F.col("event_id"))
+    return catalog.summary({"jira": jira, "slack": slack, "github": github}, {"jira": ["total", "comments"], "slack": ["total"], "github": ["total"], "google_workspace": ["total"]})
 
 
 @query("ref_a13_manifest", """
@@ -419,8 +436,7 @@ def leak_report(spark, d):
 
 @query("ref_a15_store_stats", f"SELECT unnest(['EMAIL_ADDRESS', 'GITHUB_LOGIN']) AS entity_type, unnest([count(DISTINCT lower(email)) FILTER (email <> ''), count(DISTINCT lower(github_login)) FILTER (github_login <> '')]) AS n FROM {ALL_PEOPLE}")
 def store_stats(spark, d):
-    both = people(spark, d).select(F.explode(F.array(F.struct(F.lit("EMAIL_ADDRESS").alias("entity_type"), F.lower("email").alias("v")), F.struct(F.lit("GITHUB_LOGIN").alias("entity_type"), F.lower("github_login").alias("v")))).alias("e")).select("e.*")
-    return both.where("v <> ''").distinct().groupBy("entity_type").agg(F.count(F.lit(1)).alias("n"))
+    return identity.entry_counts(_entries(spark, d).where("entity_type in ('EMAIL_ADDRESS', 'GITHUB_LOGIN')"))
 
 
 @query("ref_a16_phase_summary", """
@@ -443,7 +459,7 @@ def union_totals(spark, d):
 
 @query("ref_a19_custom_field_names", "SELECT DISTINCT k AS name FROM (SELECT unnest(map_keys(custom_fields)) AS k FROM tickets)")
 def custom_field_names(spark, d):
-    return table(spark, d, "tickets").select(F.explode(F.map_keys("custom_fields")).alias("name")).distinct()
+    return shaping.custom_fields(table(spark, d, "tickets"), "load_id", "custom_fields").select(F.col("field").alias("name")).distinct()
 
 
 @query("ref_a21_timing", "SELECT event_type, count(*) AS runs, round(avg(value), 6) AS mean_s, round(stddev_samp(value), 6) AS stdev_s, round(1.0 / avg(value), 6) AS per_second FROM events GROUP BY 1")
@@ -479,11 +495,14 @@ def message_order(spark, d):
 
 
 @query("ref_u1_file_types", """
-SELECT 'jira' AS exporter, project_key AS target, 'attachments' AS category, m AS file_type, count(*) AS count FROM (SELECT project_key, unnest([x.mime_type FOR x IN attachments]) AS m FROM tickets) WHERE m <> '' GROUP BY 2, 4""")
+SELECT 'jira' AS exporter, project_key AS target, 'attachments' AS category, m AS file_type, count(*) AS count FROM (SELECT project_key, unnest([x.mime_type FOR x IN attachments]) AS m FROM tickets) WHERE m <> '' GROUP BY 2, 4
+UNION ALL SELECT 'slack', target, 'files', CASE WHEN contains(name, '.') THEN lower('.' || regexp_extract(name, '[^.]*$')) ELSE '.unknown' END, count(*) FROM (SELECT target, regexp_extract(path, '[^/]*$') AS name FROM landed_files WHERE source = 'slack') GROUP BY 2, 4""")
 def file_types(spark, d):
     mimes = table(spark, d, "tickets").select(F.col("project_key").alias("target"), F.explode("attachments.mime_type").alias("m")).where("m <> ''")
-    maps = stats.count_map(mimes, F.col("m"), ["target"], "by_mime_type").select("target", F.struct("by_mime_type").alias("attachments"))
-    return catalog.file_types({"jira": maps})
+    jira = stats.count_map(mimes, F.col("m"), ["target"], "by_mime_type").select("target", F.struct("by_mime_type").alias("attachments"))
+    names = table(spark, d, "landed_files").where("source = 'slack'").select("target", F.substring_index("path", "/", -1).alias("name"))
+    slack = stats.count_map(names, text.extension(F.col("name")), ["target"], "by_extension").select("target", F.struct("by_extension").alias("files"))
+    return catalog.file_types({"jira": jira, "slack": slack})
 
 
 @query("ref_u5_completed_union", f"""
@@ -565,17 +584,17 @@ def human_bytes(spark, d):
     return table(spark, d, "landed_files").select("file_id", text.human_bytes(F.col("size_bytes").cast("double")).alias("size"))
 
 
-@query("ref_x20_split_names", r"""
-SELECT rec_id, regexp_split_to_array(trim(name), '\s+')[1] AS first, coalesce(regexp_replace(regexp_extract(trim(name), '^\S+\s+(.*)$', 1), '^$', ''), '') AS last FROM people_slack WHERE name <> ''""")
+@query("ref_x20_split_names", rf"""
+SELECT rec_id, regexp_split_to_array(trim(name), '\s+')[1] AS first, coalesce(regexp_replace(regexp_extract(trim(name), '^\S+\s+(.*)$', 1), '^$', ''), '') AS last FROM {ALL_PEOPLE} WHERE name <> ''""")
 def split_names(spark, d):
     first, last = text.first_last(F.col("name"))
-    return table(spark, d, "people_slack").where("name <> ''").select("rec_id", first.alias("first"), last.alias("last"))
+    return people(spark, d).where("name <> ''").select("rec_id", first.alias("first"), last.alias("last"))
 
 
-@query("ref_x22_split_addresses", "SELECT rec_id, regexp_replace(email, '@[^@]*$', '') AS local, regexp_extract(email, '@([^@]*)$', 1) AS domain FROM people_jira WHERE contains(email, '@')")
+@query("ref_x22_split_addresses", f"SELECT rec_id, regexp_replace(email, '@[^@]*$', '') AS local, regexp_extract(email, '@([^@]*)$', 1) AS domain FROM {ALL_PEOPLE} WHERE contains(email, '@')")
 def split_addresses(spark, d):
     e = F.col("email")
-    return table(spark, d, "people_jira").where(F.contains("email", F.lit("@"))).select("rec_id", hashing.local_part(e).alias("local"), hashing.domain_part(e).alias("domain"))
+    return people(spark, d).where(F.contains("email", F.lit("@"))).select("rec_id", hashing.local_part(e).alias("local"), hashing.domain_part(e).alias("domain"))
 
 
 @query("ref_x23_company_domains", f"""
@@ -620,12 +639,12 @@ def latest_checkpoints(spark, d):
     return resume.latest_checkpoints(table(spark, d, "checkpoints")).select("job_id", "status")
 
 
-@query("ref_g2_latest_tickets", f"WITH {LATEST} SELECT key, load_id FROM latest")
+@query("ref_p4_latest_tickets", f"WITH {LATEST} SELECT key, load_id FROM latest")
 def latest_tickets(spark, d):
     rows = table(spark, d, "tickets").select(normal_key(F.col("key")).alias("key"), flexible_time(F.col("updated")).alias("u"), "load_id").where("key is not null")
     return rows.groupBy("key").agg(latest_by([F.col("u"), F.col("load_id")]).alias("r")).select("key", F.col("r.o1").alias("load_id"))
 
 
-@query("ref_g3_windowed_counts", "SELECT date_trunc('hour', ts::TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+@query("ref_stream_windowed_counts", "SELECT date_trunc('hour', ts::TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def windowed_counts(spark, d):
     return resume.windowed_counts(table(spark, d, "events"), "ts", "event_type").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

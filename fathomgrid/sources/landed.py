@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomgrid import storage
+from fathomgrid.functions import text
 
 # Folders and files that describe an export and are no items.
 INFRASTRUCTURE = ("_checkpoints/", "_manifest/")
@@ -130,6 +131,66 @@ def is_skipped_drive(mime: Column) -> Column:
     return mime.isin(*[f"application/vnd.google-apps.{x}" for x in SKIPPED_DRIVE]) | mime.startswith("image/") | mime.startswith("video/")
 
 
+def wanted_attachment(source: Column, key: Column) -> Column:
+    """Whether a file beside the items is masked: office documents of ticket, chat and wiki services, tables of event services, nothing else."""
+    return F.when(source.isin("jira", "slack", "confluence"), is_office(key)).when(source == "bigquery", F.lower(key).endswith(".parquet")).otherwise(F.lit(False))
+
+
+def of_users(keys: DataFrame, key: str, slugs: DataFrame) -> DataFrame:
+    """Keys below the folder of one of the users (column slug), the second part of the key."""
+    return keys.withColumn("_slug", F.get(F.split(key, "/"), F.lit(1))).join(slugs.select(F.col("slug").alias("_slug")).distinct(), "_slug", "left_semi").drop("_slug")
+
+
+def is_thread_parent(reply_count: Column, thread_ts: Column) -> Column:
+    """Whether a message has replies of its own."""
+    return F.coalesce((reply_count > 0) & (F.coalesce(thread_ts, F.lit("")) != ""), F.lit(False))
+
+
+def index_keys(indexes: DataFrame) -> DataFrame:
+    """Keys of the items that index documents list: key, each once.
+
+    indexes: source, base (folder of the index), content. Tickets by key, chat
+    messages by ts, wiki pages and calendar events by id, mails by the id of
+    their entry, stored files by id and safe name where they were downloaded and
+    are office documents. Broken indexes and blank entries give none.
+    """
+    content, source = F.col("content"), F.lower(F.trim("source"))
+    names = F.when(source == "jira", F.from_json(content, "keys array<string>")["keys"]).when(source.isin("slack", "confluence", "calendar"), F.from_json(content, "array<string>"))
+    entry = F.from_json(content, "array<struct<id:string,name:string,downloaded:boolean>>")
+    stored = F.transform(F.filter(entry, lambda e: F.coalesce(e["downloaded"], F.lit(False)) & (e["id"] != "") & (e["name"] != "")), lambda e: F.concat_ws("_", e["id"], text.file_name(e["name"])))
+    listed = F.when(source == "gmail", F.transform(entry, lambda e: e["id"])).when(source == "drive", F.filter(stored, is_office)).otherwise(names)
+    ending = F.when(source == "gmail", ".eml").when(source == "drive", "").otherwise(".json")
+    rows = indexes.select("base", ending.alias("ending"), F.explode(listed).alias("name")).where(F.coalesce(F.trim("name"), F.lit("")) != "")
+    return rows.select(F.concat("base", F.lit("/"), "name", "ending").alias("key")).distinct()
+
+
+def existing(keys: DataFrame, listing: DataFrame) -> DataFrame:
+    """Keys with whether a listing (key) has them."""
+    there = listing.select("key").distinct().withColumn("exists", F.lit(True))
+    return keys.join(there, "key", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+
+
+def day_tables(spark: SparkSession, folder: str, wanted: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """Day tables `day=<yyyyMMdd>` of a folder with their day, and a row (day, status) for each wanted one: ok or missing. No table gives None."""
+    there = set(storage.children(spark, folder))
+    found = [d for d in wanted if f"day={d}" in there]
+    status = spark.createDataFrame([(d, "ok" if d in found else "missing") for d in wanted], "day string, status string")
+    tables = spark.read.option("basePath", folder).parquet(*[f"{folder}/day={d}" for d in found]) if found else None
+    return tables, status
+
+
+def read_catalog(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame:
+    """A catalog table of JSON lines by its schema; a table that was never written is empty."""
+    return spark.read.schema(schema).json(folder) if storage.exists(spark, folder) else spark.createDataFrame([], schema)
+
+
+def chat_messages(files: DataFrame) -> DataFrame:
+    """Chat messages of landed files with what statistics need: file_id, target, ts, thread_ts, subtype, reply_count, reactions, files; contents that hold no message are left out."""
+    schema = "ts string, thread_ts string, subtype string, reply_count long, reactions array<struct<name:string,count:long,users:array<string>>>, files array<struct<id:string,name:string>>"
+    found = files.where((F.col("source") == "slack") & F.contains("path", F.lit("/messages/")) & ~F.contains("path", F.lit("/_")))
+    return found.select("file_id", "target", F.from_json("content", schema).alias("m")).select("file_id", "target", "m.*").where(F.coalesce("ts", F.lit("")) != "")
+
+
 def messages(files: DataFrame) -> DataFrame:
     """Chat messages of landed files that hold one complete JSON object: file_id, target, ts, thread_ts, parent_user_id, user, text."""
     names = ("ts", "thread_ts", "parent_user_id", "user", "text")
@@ -137,9 +198,9 @@ def messages(files: DataFrame) -> DataFrame:
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             rows = []
-            for i, text in enumerate(b.column(2).to_pylist()):
+            for i, content in enumerate(b.column(2).to_pylist()):
                 try:
-                    value = json.loads(text)
+                    value = json.loads(content)
                 except ValueError:
                     continue
                 if isinstance(value, dict):
