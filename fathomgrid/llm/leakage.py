@@ -134,15 +134,19 @@ def alignments(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, list[tuple[i
     same = np.where(a[:, None] == b[None, :], 2, -1).astype(np.int32)
     used = np.zeros((n, m), bool)
     across = np.arange(m + 1, dtype=np.int32)
+    full = np.zeros(m + 1, np.int32)
+    masked = False
     while True:
         h = np.zeros((n + 1, m + 1), np.int32)
         for i in range(n):
             row = np.maximum(h[i, :-1] + same[i], h[i, 1:] - 1)
-            row = np.maximum(row, 0)
-            row[used[i]] = 0
-            full = np.concatenate(([0], row)) + across
-            h[i + 1] = np.maximum(np.maximum.accumulate(full) - across, 0)
-            h[i + 1, 1:][used[i]] = 0
+            if masked:
+                row[used[i]] = 0
+            np.add(row, across[1:], out=full[1:])
+            np.maximum(np.maximum.accumulate(full) - across, 0, out=h[i + 1])
+            if masked:
+                h[i + 1, 1:][used[i]] = 0
+        masked = True
         best = int(h.max())
         if best <= 0:
             return
