@@ -604,19 +604,21 @@ FIELDS = ("summary", "description_text", "body_text")
 
 def fields(tickets: DataFrame) -> DataFrame:
     """Free texts of tickets: load_id, field, comment_pos (-1 outside comments), text; null and empty ones are left out."""
-    own = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(-1).alias("comment_pos"), F.col(f).alias("text")) for f in FIELDS[:2]]))
-    outer = tickets.select("load_id", own.alias("f")).select("load_id", "f.*")
-    said = tickets.select("load_id", F.posexplode(F.transform("comments", lambda c: c["body_text"])).alias("comment_pos", "text"))
-    every = outer.unionByName(said.select("load_id", F.lit(FIELDS[2]).alias("field"), "comment_pos", "text"))
+    entry = lambda name, pos, text: F.struct(F.lit(name).alias("field"), pos.cast("int").alias("comment_pos"), text.alias("text"))
+    own = F.array(*[entry(f, F.lit(-1), F.col(f)) for f in FIELDS[:2]])
+    said = F.transform("comments", lambda c, i: entry(FIELDS[2], i, c["body_text"]))
+    every = tickets.select("load_id", F.explode(F.concat(own, F.coalesce(said, F.slice(own, 1, 0)))).alias("f")).select("load_id", "f.*")
     return every.where(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
 def common_words(texts: DataFrame, column: str = "text") -> frozenset[str]:
     """Words that make up at least SHARE of all words of all texts, in lower case: no more than its inverse."""
     words = texts.select(F.explode(F.regexp_extract_all(F.lower(column), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
-    counts, _ = storage.materialise(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
+    counts, at = storage.materialise(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return frozenset(r[0] for r in counts.where(F.col("n") >= max(OFTEN, total * SHARE)).collect())
+    found = frozenset(r[0] for r in counts.where(F.col("n") >= max(OFTEN, total * SHARE)).collect())
+    storage.remove(texts.sparkSession, at)
+    return found
 
 
 def name_words(texts: DataFrame, field: Field, column: str = "text") -> frozenset[str]:
