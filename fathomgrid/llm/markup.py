@@ -13,7 +13,6 @@ from __future__ import annotations
 import html
 import random
 import re
-import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -501,30 +500,31 @@ def render(dom: Dom, best: list[int]) -> str:
     """Clean text of a tree; headings begin with `# `, list items with `- `, code is fenced, formulas stand between `$`."""
     out: list[str] = []
 
-    def visit(k: int) -> None:
+    def enter(k: int) -> list[str | int]:
+        """What stands for a node: texts, nodes still to enter, and what follows them."""
         kind, tag = best[k], dom.tags[k]
-        if kind == 3:
-            out.append("\n```\n" + "".join(x for x in dom.items[k] if isinstance(x, str)).strip("\n").translate(_SHOW) + "\n```\n")
-            return
-        if kind == 4:
-            out.append("$" + "".join(x for x in dom.items[k] if isinstance(x, str)).strip().translate(_SHOW) + "$")
-            return
+        if kind in (3, 4):
+            own = "".join(x for x in dom.items[k] if isinstance(x, str))
+            return ["\n```\n" + own.strip("\n").translate(_SHOW) + "\n```\n"] if kind == 3 else ["$" + own.strip().translate(_SHOW) + "$"]
+        parts: list[str | int] = []
         if kind:
-            out.append("\n# " if kind == 1 else "\n- ")
+            parts.append("\n# " if kind == 1 else "\n- ")
         elif tag in _BLOCK or tag in ("paragraph", "tableRow", "panel", "expand"):
-            out.append("\n")
+            parts.append("\n")
         elif tag in ("td", "th", "tableCell", "tableHeader"):
-            out.append(" ")
-        for x in dom.items[k]:
-            if isinstance(x, str):
-                out.append(x.translate(_SHOW))
-            else:
-                visit(x)
+            parts.append(" ")
+        parts += [x.translate(_SHOW) if isinstance(x, str) else x for x in dom.items[k]]
         if kind or tag in _BLOCK or tag == "paragraph":
-            out.append("\n")
+            parts.append("\n")
+        return parts
 
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
-    visit(0)
+    stack: list[str | int] = [0]
+    while stack:
+        top = stack.pop()
+        if isinstance(top, str):
+            out.append(top)
+        else:
+            stack += reversed(enter(top))
     text = re.sub(r"[ \t\u00a0]+\n", "\n", "".join(out))
     return re.sub(r"\n{3,}", "\n\n", text).strip()
 
@@ -534,10 +534,10 @@ FIELDS = ("description_adf", "body_adf", "rendered_body")
 
 def fields(tickets: DataFrame) -> DataFrame:
     """Marked-up texts of tickets: load_id, field, comment_pos (-1 for the description), text; blank ones are left out."""
-    described = tickets.select("load_id", F.lit(FIELDS[0]).alias("field"), F.lit(-1).alias("comment_pos"), F.col("description_adf").alias("text"))
-    each = tickets.select("load_id", F.posexplode(F.transform("comments", lambda c: F.struct(c["body_adf"].alias("a"), c["rendered_body"].alias("r")))).alias("comment_pos", "c"))
-    both = each.select("load_id", "comment_pos", F.explode(F.array(F.struct(F.lit(FIELDS[1]).alias("field"), F.col("c.a").alias("text")), F.struct(F.lit(FIELDS[2]).alias("field"), F.col("c.r").alias("text")))).alias("f"))
-    every = described.unionByName(both.select("load_id", "f.field", "comment_pos", "f.text"))
+    entry = lambda name, pos, text: F.struct(F.lit(name).alias("field"), pos.cast("int").alias("comment_pos"), text.alias("text"))
+    described = F.array(entry(FIELDS[0], F.lit(-1), F.col("description_adf")))
+    each = F.flatten(F.transform("comments", lambda c, i: F.array(entry(FIELDS[1], i, c["body_adf"]), entry(FIELDS[2], i, c["rendered_body"]))))
+    every = tickets.select("load_id", F.explode(F.concat(described, F.coalesce(each, F.slice(described, 1, 0)))).alias("f")).select("load_id", "f.*")
     return every.where(F.col("text").isNotNull() & (F.col("text") != ""))
 
 

@@ -74,3 +74,14 @@ def test_long_lists_and_long_formulas():
     assert counts(f"<p>The bound is ${formula}$ here.</p>") == (0, 0, 0, 1)
     for text in ("<p>We started in\n2019. It was a fine year.</p>", "<p>It costs\n15000. That is a lot.</p>", "<p>Cost rose from $5 " + "a good bit " * 60 + "to $9 per seat.</p>"):
         assert counts(text) == (0, 0, 0, 0)
+
+
+def test_deep_trees_render_without_recursion():
+    deep = {"type": "text", "text": "x"}
+    for _ in range(400):
+        deep = {"type": "paragraph", "content": [deep]}
+    dom, best = markup.kinds(json.dumps({"type": "doc", "content": [deep]}), "body_adf", markup.labeller())
+    assert markup.render(dom, best) == "x"
+    html = "<div>" * 20_000 + "y"
+    dom = markup.read(html, "rendered_body")
+    assert markup.render(dom, [0] * len(dom.tags)) == "y"
