@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,12 +74,16 @@ def labels(column: Column, threshold: float = 0.0, allowed: tuple[str, ...] = ()
         if p.score < threshold:
             continue
         if keep:
-            column = replaced(column, p.regex, lambda m, k=p.kind: F.when(F.lower(m).isin(*keep), m).otherwise(f"[{k}]"))
+            column = replaced(column, p.regex, _label(p.kind, keep))
         else:
             column = F.regexp_replace(column, "(?i)" + p.regex, f"[{p.kind}]")
     return column
 
 
+def _label(kind: str, keep: list[str]) -> Callable[[Column], Column]:
+    return lambda m: F.when(F.lower(m).isin(*keep), m).otherwise(f"[{kind}]")
+
+
 def replaced(column: Column, pattern: str, rule: Callable[[Column], Column]) -> Column:
     """A text with every match of a pattern, case ignored, replaced by a rule: split at the matches, rewritten, joined again.
 
@@ -87,7 +92,7 @@ def replaced(column: Column, pattern: str, rule: Callable[[Column], Column]) ->
     pattern = "(?i)" + pattern
 
     def whole(v: Column) -> Column:
-        made = F.transform(F.regexp_extract_all(v, F.lit(pattern), F.lit(0)), rule)
+        made = F.transform(F.regexp_extract_all(v, F.lit(pattern), F.lit(0)), lambda m: rule(m))  # noqa: PLW0108 - rules may have more parameters
         return F.array_join(F.flatten(F.zip_with(F.split(v, pattern), F.concat(made, F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
 
     return F.get(F.transform(F.array(column), whole), F.lit(0))  # binds the text once, however many patterns follow each other
@@ -102,7 +107,7 @@ def scan_nested(column: Column, literals: list[tuple[str, str]] = [], kinds: tup
     out = column
     for p in sorted(PATTERNS, key=lambda p: -p.score):
         if p.score >= threshold and (kinds is None or p.kind in kinds):
-            out = replaced(out, p.regex, lambda m, k=p.kind: hashing.stand_in(k, m))
+            out = replaced(out, p.regex, partial(hashing.stand_in, p.kind))
     return F.when(F.length(column) < 3, column).otherwise(text.literal_chain(out, literals))
 
 

@@ -72,6 +72,12 @@ def merge_records(records: DataFrame, group: str, order: str) -> DataFrame:
     return fields.join(sources, group, "left").withColumn("sources", F.coalesce("sources", F.array().cast("array<string>")))
 
 
+def local_forms(mail: Column) -> Column:
+    """The local part of an address, lower case, as it is and without dots and underscores, each once."""
+    local = F.lower(F.split_part(mail, F.lit("@"), F.lit(1)))
+    return F.array_distinct(F.array(local, F.translate(local, "._", "")))
+
+
 def resolve_persons(records: DataFrame, order: str) -> DataFrame:
     """The person each record belongs to, `person`: its group's lower-case address, or `_orphan_` with its order.
 
@@ -84,9 +90,8 @@ def resolve_persons(records: DataFrame, order: str) -> DataFrame:
     keyed = records.withColumn("_mail", F.lower("email"))
     with_mail = keyed.where(~blank(F.col("email")))
     people = with_mail.groupBy("_mail").agg(_first("name", F.col(order)), F.min(order).alias("_at"))
-    local = F.lower(F.split_part("_mail", F.lit("@"), F.lit(1)))
     by_name = people.where(~blank(F.col("name"))).groupBy(F.lower("name").alias("k1")).agg(F.max_by("_mail", "_at").alias("m1"))
-    locals_ = people.where(F.contains("_mail", F.lit("@"))).select(F.explode(F.array_distinct(F.array(local, F.translate(local, "._", "")))).alias("k"), "_mail", "_at")
+    locals_ = people.where(F.contains("_mail", F.lit("@"))).select(F.explode(local_forms(F.col("_mail"))).alias("k"), "_mail", "_at")
     by_local = locals_.groupBy("k").agg(F.max_by("_mail", "_at").alias("m"))
     orphans = keyed.where(blank(F.col("email")))
     named = F.when(~blank(F.col("name")), F.lower("name"))

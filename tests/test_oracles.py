@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from fathomgrid.plans import corpus, corpus_sql, reference
+from fathomgrid.plans import corpus, corpus_sql, exports, reference  # noqa: F401
 
 SQL = corpus_sql.ORACLES | reference.ORACLES
 QUERIES = corpus.QUERIES | reference.QUERIES
