@@ -5,9 +5,10 @@ the sets of their letter pairs are encoded as fixed bit vectors, and all pairs
 of distinct strings within a Hamming radius are found exactly by multi-index
 hashing. Strings that are spelled with common name parts are anchors; others
 (typing errors, joined or cut spellings) are tied to the one anchor that fits
-them best by weighted Dice score. Records that share an anchor or a personal
-address are one person. The confidence of a tie is the rate at which ties of
-its kind and score agree with an address of the same record.
+them best by Dice score. What the attributes of a record say for an anchor is
+its field-weighted Dice score, and the confidence of a tie is the rate at which
+ties of its kind and score agree with the address of the same record. Records
+that share an anchor by confident ties or a personal address are one person.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from itertools import combinations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomgrid import storage
@@ -34,7 +35,9 @@ COMMON = 2
 RARE = 10
 #: An address is a shared mailbox when its records give more than two names and one in so many of the namings is not the most frequent name.
 CONTRADICT = 8
-#: Weight of each attribute's Dice score in the score of a pair.
+#: Least confidence of a tie that joins a record to a person, and the confidence of an address that spells the name.
+CONFIDENT, SPELLED = 0.5, 0.95
+#: Weight of each attribute's Dice score in the score of a record and an anchor.
 WEIGHTS = {"email": 3.0, "name": 2.5, "parts": 2.5, "slack_display_name": 2.0, "jira_display_name": 2.0, "github_login": 1.5, "slack_username": 1.5}
 
 # Words of mailboxes and decorations that are no names, and the usual Latin letters of Cyrillic ones.
@@ -161,6 +164,11 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def _place(chunk: int, word: int) -> int:
+    """A chunk and its word as one number; two that differ can share one, which the distance then tells apart."""
+    return _signed((word ^ (0x9E3779B97F4A7C15 * (chunk + 1))) & (1 << 64) - 1)
+
+
 def keys(bits: set[int], most: int = 1) -> list[tuple[int, int, int]]:
     """(chunk, key, gone) of every chunk with up to `most` of its set bits left out."""
     out = []
@@ -274,36 +282,59 @@ def near_pairs(strings: DataFrame) -> DataFrame:
     them in no more than 2, and strings meet by both chunks. Words of the
     vectors travel along, so a pair is checked where it meets.
     """
-    kind = "array<struct<chunk:int,key:long,gone:int>>"
-    schema = f"text string, lhs boolean, rhs boolean, w array<long>, keys {kind}, fine {kind}"
+    schema = "text string, lhs boolean, rhs boolean, w0 long, w1 long, w2 long, keys array<struct<key:long,gone:int>>"
+    words = [f"w{i}" for i in range(CHUNKS)]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = pa.list_(pa.struct([("chunk", pa.int32()), ("key", pa.int64()), ("gone", pa.int32())]))
+        arrow = pa.list_(pa.struct([("key", pa.int64()), ("gone", pa.int32())]))
         for b in it:
-            words, found, fine = [], [], []
+            found, own = [], []
             for t in b.column(0).to_pylist():
-                k = [{"chunk": c, "key": v, "gone": g} for c, v, g in keys(features(t), 2)]
-                found.append([x for x in k if x["gone"] < 2])
-                fine.append(k)
-                words.append([x["key"] for x in k if not x["gone"]])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(words, pa.list_(pa.int64())), pa.array(found, arrow), pa.array(fine, arrow)], names=["text", "lhs", "rhs", "w", "keys", "fine"])
-
-    coded, _ = storage.materialise(strings.select("text", "lhs", "rhs").mapInArrow(batches, schema), "coded")
-    flat = coded.select("text", "lhs", "rhs", "w", "fine", F.explode("keys").alias("k")).select("text", "lhs", "rhs", "w", "fine", "k.*")
-    hot = flat.groupBy("chunk", "key").agg((F.count_if("lhs") * F.count_if("rhs")).alias("pairs")).where(F.col("pairs") > HOT).select("chunk", "key")
-    distance = sum((F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i])) for i in range(CHUNKS)), F.lit(0))
+                k = keys(features(t))
+                own.append([v for _, v, g in k if not g])
+                found.append([{"key": _place(c, v), "gone": g} for c, v, g in k])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array([w[i] for w in own], pa.int64()) for i in range(CHUNKS)), pa.array(found, arrow)], names=["text", "lhs", "rhs", *words, "keys"])
+
+    def finer(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows under split keys with the keys of the other chunks, up to two bits left out."""
+        for b in it:
+            at, second, gone2 = [], [], []
+            key = b.column(b.schema.get_field_index("key")).to_pylist()
+            for i, own in enumerate(zip(*(b.column(b.schema.get_field_index(w)).to_pylist() for w in words))):
+                bits = {c * CHUNK_BITS + k for c, w in enumerate(own) for k in range(CHUNK_BITS) if w >> k & 1}
+                all_keys = keys(bits, 2)
+                first = {c for c, v, g in all_keys if g < 2 and _place(c, v) == key[i]}
+                for c, v, g in all_keys:
+                    if c not in first:
+                        at.append(i)
+                        second.append(_place(c, v))
+                        gone2.append(g)
+            rows = b.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(second, pa.int64()), pa.array(gone2, pa.int32())], names=[*b.schema.names, "key2", "gone2"])
+
+    coded, coded_at = storage.materialise(strings.select("text", "lhs", "rhs").mapInArrow(batches, schema), "coded")
+    flat = coded.select("text", "lhs", "rhs", *words, F.explode("keys").alias("k")).select("text", "lhs", "rhs", *words, "k.*")
+    hot = flat.groupBy("key").agg((F.count_if("lhs") * F.count_if("rhs")).alias("pairs")).where(F.col("pairs") > HOT).select("key")
+    hot, hot_at = storage.materialise(hot, "hot")
+    distance = sum((F.bit_count(F.col(f"{w}a").bitwiseXOR(F.col(f"{w}b"))) for w in words), F.lit(0))
     near = ((F.col("ga") == 0) | (F.col("gb") == 0)) & (F.col("text") != F.col("other")) & (distance <= RADIUS)
 
-    def sides(rows: DataFrame, on: list[str], more: str | None) -> DataFrame:
-        extra = lambda s: [F.col(more).alias(f"{more}{s}")] if more else []
-        a = rows.where("lhs").select(*on, F.col("gone").alias("ga"), "text", F.col("w").alias("wa"), *extra("a"))
-        b = rows.where("rhs").select(*on, F.col("gone").alias("gb"), F.col("text").alias("other"), F.col("w").alias("wb"), *extra("b"))
-        return a.join(b, on).where(near & (F.col("gone2a") + F.col("gone2b") <= 2) if more else near).select("text", "other")
+    def sides(rows: DataFrame, on: list[str]) -> DataFrame:
+        second = on[1:]
+        more = lambda s: [F.col("gone2").alias(f"gone2{s}")] if second else []
+        a = rows.where("lhs").select(*on, F.col("gone").alias("ga"), "text", *[F.col(w).alias(f"{w}a") for w in words], *more("a"))
+        b = rows.where("rhs").select(*on, F.col("gone").alias("gb"), F.col("text").alias("other"), *[F.col(w).alias(f"{w}b") for w in words], *more("b"))
+        return a.join(b, on).where(near & (F.col("gone2a") + F.col("gone2b") <= 2) if second else near).select("text", "other")
 
-    cool = sides(flat.drop("fine").join(hot, ["chunk", "key"], "left_anti"), ["chunk", "key"], None)
-    split = flat.join(hot, ["chunk", "key"], "left_semi").withColumn("f", F.explode("fine")).where(F.col("f.chunk") != F.col("chunk"))
-    split = split.select("text", "lhs", "rhs", "w", "chunk", "key", "gone", F.col("f.chunk").alias("chunk2"), F.col("f.key").alias("key2"), F.col("f.gone").alias("gone2"))
-    return cool.unionByName(sides(split, ["chunk", "key", "chunk2", "key2"], "gone2")).distinct()
+    if hot.isEmpty():
+        found = sides(flat, ["key"])
+    else:
+        split = flat.join(hot, "key", "left_semi").select("text", "lhs", "rhs", *words, "key", "gone").mapInArrow(finer, "text string, lhs boolean, rhs boolean, w0 long, w1 long, w2 long, key long, gone int, key2 long, gone2 int")
+        found = sides(flat.join(hot, "key", "left_anti"), ["key"]).unionByName(sides(split, ["key", "key2"]))
+    pairs, _ = storage.materialise(found.distinct(), "near")
+    storage.remove(strings.sparkSession, coded_at)
+    storage.remove(strings.sparkSession, hot_at)
+    return pairs
 
 
 def _anchored(strings: DataFrame) -> DataFrame:
@@ -357,8 +388,8 @@ def _aliases(anchor: str) -> list[tuple[str, str]]:
     return list(dict.fromkeys(out))
 
 
-def _components(edges: DataFrame) -> DataFrame:
-    """Smallest node of the component of every node of an undirected graph: node, root.
+def _components(edges: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Smallest node of the component of every node of an undirected graph: node, root; and the paths to remove once it is read.
 
     Each round takes over the smallest root among the neighbours and then that
     root's own root, so labels jump in growing steps. Rounds end when no label
@@ -366,21 +397,65 @@ def _components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both, both_at = storage.materialise(both, "edges")
-    state, _ = storage.materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).select(F.col("a").alias("node"), "root"), "roots")
-    old: list[str] = []
+    state, state_at = storage.materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).select(F.col("a").alias("node"), "root"), "roots")
+    old: list[str] = [state_at]
     while True:
         offered = both.join(state.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("low"))
         lower = state.join(offered, "node").select("node", "root", F.least("root", "low").alias("low"))
         jump = state.select(F.col("node").alias("low"), F.col("root").alias("far"))
-        new, at = storage.materialise(lower.join(jump, "low").select("node", F.least("low", "far").alias("root"), F.col("root").alias("was")), "roots")
-        changed = new.where(F.col("root") != F.col("was")).limit(1).count()
+        new, at, changed = storage.materialise_counted(lower.join(jump, "low").select("node", F.least("low", "far").alias("root"), F.col("root").alias("was")), "roots", F.col("root") != F.col("was"))
         state = new.select("node", "root")
         old.append(at)
         if len(old) > 2:
             storage.remove(state.sparkSession, old.pop(0))
         if not changed:
             storage.remove(state.sparkSession, both_at)
-            return state
+            return state, old
+
+
+def _weighed(told: DataFrame) -> DataFrame:
+    """Field-weighted Dice scores of records and anchors.
+
+    told: rec_id, source, votes (field, anchor, kind, dice). The score of an
+    anchor is the weighted sum of the Dice scores of the attributes that give
+    it, over the weights of all attributes of the record that give any anchor.
+    `score` leaves the address out, which `mail` tells (whether it gives this
+    anchor) and `mail_anchor` (the anchor it gives, if any by its spelling).
+    """
+    weight = F.create_map(*[x for f, w in WEIGHTS.items() for x in (F.lit(f), F.lit(w))])
+
+    def total(fields: Column) -> Column:
+        return F.aggregate(F.array_distinct(fields), F.lit(0.0), lambda a, f: a + F.coalesce(weight[f], F.lit(1.0)))
+
+    def anchor_score(a: Column) -> Column:
+        own = F.filter("others", lambda v: v["anchor"] == a)
+        given = F.aggregate(own, F.lit(0.0), lambda s, v: s + F.coalesce(weight[v["field"]], F.lit(1.0)) * v["dice"])
+        rank = lambda v: F.when(v["kind"] == "same", 5).when(v["kind"] == "joined", 4).when(v["kind"].isin("typo", "joined typo"), 3).when(v["kind"].isin("sound", "own"), 2).otherwise(1)
+        best = F.array_max(F.transform(F.filter("votes", lambda v: v["anchor"] == a), lambda v: F.struct(rank(v).alias("r"), v["kind"].alias("kind"))))
+        return F.struct(a.alias("anchor"), best["kind"].alias("kind"), F.when(F.size(own) > 0, F.least(F.lit(1.0), given / F.col("all"))).alias("score"), F.exists("votes", lambda v: (v["anchor"] == a) & (v["field"] == "email")).alias("mail"))
+
+    spelled = F.filter("votes", lambda v: (v["field"] == "email") & v["kind"].isin("same", "own", "joined"))
+    rows = told.select("rec_id", "source", "votes", F.filter("votes", lambda v: v["field"] != "email").alias("others"), F.array_min(F.transform(spelled, lambda v: v["anchor"])).alias("mail_anchor"))
+    rows = rows.withColumn("all", total(F.col("others.field")))
+    return rows.select("rec_id", "source", "mail_anchor", F.explode(F.transform(F.array_distinct("votes.anchor"), anchor_score)).alias("t")).select("rec_id", "source", "mail_anchor", "t.*")
+
+
+def _confident(scores: DataFrame) -> DataFrame:
+    """Ties with their calibrated confidence: rec_id, source, anchor, confidence.
+
+    The rate at which anchors of a kind and score are the one that the address
+    of the same record spells is the confidence of that kind and score; where
+    too few addresses tell, a prior has the weight of two. An address that
+    spells the anchor itself is a second witness.
+    """
+    bucket = F.floor(F.col("score") * 10)
+    prior = F.when(F.col("kind").isin("same", "joined"), 0.95).when(F.col("kind") == "cut", 0.6).otherwise(0.8)
+    keyed = scores.withColumn("bucket", bucket).withColumn("prior", prior)
+    rates = keyed.where("mail_anchor is not null and bucket is not null").groupBy("kind", "bucket").agg(F.count_if(F.col("anchor") == F.col("mail_anchor")).alias("right"), F.count(F.lit(1)).alias("n"))
+    rated = keyed.join(rates, ["kind", "bucket"], "left")
+    by_names = (F.coalesce("right", F.lit(0)) + 2 * F.col("prior")) / (F.coalesce("n", F.lit(0)) + 2)
+    doubt = F.when(F.col("score").isNotNull(), 1 - by_names).otherwise(F.lit(1.0)) * F.when(F.col("mail"), 1 - F.lit(SPELLED)).otherwise(F.lit(1.0))
+    return rated.select("rec_id", "source", "anchor", (1 - doubt).alias("confidence"))
 
 
 def match(people: DataFrame) -> DataFrame:
@@ -393,17 +468,17 @@ def match(people: DataFrame) -> DataFrame:
     Repeated records fall together; an empty table gives none. person is the
     smallest record id of the person as text.
     """
-    seen, _ = storage.materialise(views(people).distinct(), "views")
+    spark = people.sparkSession
+    seen, seen_at = storage.materialise(views(people).distinct(), "views")
     named = seen.where("form <> 'address'")
     strings = named.where("form in ('full', 'joined')").groupBy("form", "text").agg(F.countDistinct("rec_id").alias("support"))
-    anchors, _ = storage.materialise(_anchored(strings), "anchors")
 
     # one spelling of a middle initial takes over the spelling without one
-    split = anchors.select("anchor").distinct().withColumn("names", F.split_part("anchor", F.lit("|"), F.lit(1))).withColumn("middle", F.split_part("anchor", F.lit("|"), F.lit(2)))
-    single = split.where("middle <> ''").groupBy("names").agg(F.count(F.lit(1)).alias("n"), F.min("anchor").alias("only")).where("n = 1")
-    anchors = anchors.withColumn("names", F.concat(F.split_part("anchor", F.lit("|"), F.lit(1)))).join(single.select("names", "only"), "names", "left")
-    anchors = anchors.select("form", "text", F.when(F.col("anchor").endswith("|"), F.coalesce("only", "anchor")).otherwise(F.col("anchor")).alias("anchor"), "kind", "dice")
-    anchors, _ = storage.materialise(anchors, "anchors")
+    names = F.split_part("anchor", F.lit("|"), F.lit(1))
+    with_middle = F.collect_set(F.when(~F.col("anchor").endswith("|"), F.col("anchor"))).over(Window.partitionBy("names"))
+    anchors = _anchored(strings).withColumn("names", names).withColumn("middles", with_middle)
+    anchors = anchors.select("form", "text", F.when(F.col("anchor").endswith("|") & (F.size("middles") == 1), F.col("middles")[0]).otherwise(F.col("anchor")).alias("anchor"), "kind", "dice")
+    anchors, anchors_at = storage.materialise(anchors, "anchors")
 
     # other spellings that only one anchor has
     def aliases(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,34 +486,29 @@ def match(people: DataFrame) -> DataFrame:
             rows = [(*x, a) for a in b.column(0).to_pylist() for x in _aliases(a)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["way", "alias", "anchor"])
 
-    solid = anchors.where("kind in ('same', 'own') and form = 'full'").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).select("anchor")
+    solid = anchors.where("kind in ('same', 'own') and form = 'full'").select("anchor").distinct()
     unique = solid.mapInArrow(aliases, "way string, alias string, anchor string").groupBy("way", "alias").agg(F.min("anchor").alias("anchor"), F.max("anchor").alias("other"))
-    unique, _ = storage.materialise(unique.where("anchor = other").select("way", "alias", "anchor"), "aliases")
+    unique, unique_at = storage.materialise(unique.where("anchor = other").select("way", "alias", "anchor"), "aliases")
 
-    tied = named.join(anchors, ["form", "text"]).select("rec_id", "source", "field", "form", "anchor", "kind", "dice")
+    tied = named.join(anchors, ["form", "text"]).select("rec_id", "source", "field", "anchor", "kind", "dice")
     heard = named.where("form = 'sound'").join(unique.where("way = 'sound'").select(F.col("alias").alias("text"), "anchor"), "text", "left")
-    heard = heard.select("rec_id", "source", "field", "form", F.coalesce("anchor", F.concat(F.lit("sound "), "text")).alias("anchor"), F.lit("sound").alias("kind"), F.lit(0.8).alias("dice"))
-    tied = tied.unionByName(heard)
+    heard = heard.select("rec_id", "source", "field", F.coalesce("anchor", F.concat(F.lit("sound "), "text")).alias("anchor"), F.lit("sound").alias("kind"), F.lit(0.8).alias("dice"))
+    votes = F.collect_set(F.struct("field", "anchor", "kind", "dice"))
+    told = tied.unionByName(heard).groupBy("rec_id", "source").agg(votes.alias("votes"))
     # a short or odd form says nothing where another attribute spells the name out
-    weak = F.col("kind").isin("short", "own")
-    spelled = tied.where("kind in ('same', 'joined')").select("rec_id").distinct()
-    tied, _ = storage.materialise(tied.where(~weak).unionByName(tied.where(weak).join(spelled, "rec_id", "left_anti")), "tied")
+    spelled = F.exists("votes", lambda v: v["kind"].isin("same", "joined"))
+    told = told.withColumn("votes", F.when(spelled, F.filter("votes", lambda v: ~v["kind"].isin("short", "own"))).otherwise(F.col("votes")))
+    told, told_at = storage.materialise(told, "told")
 
-    loose = named.join(tied.select("rec_id").distinct(), "rec_id", "left_anti").select("rec_id", "source", "field", "form", "text")
+    loose = named.join(told.select("rec_id"), "rec_id", "left_anti").select("rec_id", "source", "field", "form", "text")
     cut = loose.join(unique.select(F.col("way").alias("form"), F.col("alias").alias("text"), "anchor"), ["form", "text"])
-    agreed = cut.groupBy("rec_id", "source").agg(F.min("anchor").alias("anchor"), F.max("anchor").alias("other")).where("anchor = other")
-    ties = tied.unionByName(agreed.select("rec_id", "source", F.lit("cut").alias("field"), F.lit("cut").alias("form"), "anchor", F.lit("cut").alias("kind"), F.lit(0.5).alias("dice")))
-
-    # confidence: how often ties of a kind agree with the address of the same record
-    bucket = F.floor(F.col("dice") * 10)
-    by_mail = ties.where("field = 'email' and kind in ('same', 'own', 'joined')").groupBy("rec_id").agg(F.min("anchor").alias("mail_anchor"))
-    rated = ties.where("field <> 'email'").join(by_mail, "rec_id").groupBy("kind", bucket.alias("bucket")).agg(((F.count_if(F.col("anchor") == F.col("mail_anchor")) + 1) / (F.count(F.lit(1)) + 2)).alias("confidence"))
-    prior = F.when(F.col("kind").isin("same", "joined"), 0.95).when(F.col("kind") == "cut", 0.6).otherwise(0.8)
-    ties = ties.withColumn("bucket", bucket).join(rated, ["kind", "bucket"], "left").select("rec_id", "source", "anchor", F.coalesce("confidence", prior).alias("confidence"))
+    agreed = cut.groupBy("rec_id", "source").agg(F.min("anchor").alias("anchor"), F.max("anchor").alias("other"), F.max("field").alias("field")).where("anchor = other")
+    every = told.unionByName(agreed.select("rec_id", "source", F.array(F.struct("field", "anchor", F.lit("cut").alias("kind"), F.lit(0.5).alias("dice"))).alias("votes")))
+    ties, ties_at = storage.materialise(_confident(_weighed(every)), "ties")
 
     # a personal address: of any number of records, whose names do not contradict
     mails = seen.where("form = 'address' and not role").select("rec_id", F.col("text").alias("mail"))
-    said = mails.distinct().join(tied.select("rec_id", "anchor").distinct(), "rec_id", "left")
+    said = mails.distinct().join(told.select("rec_id", F.explode("votes.anchor").alias("anchor")).distinct(), "rec_id", "left")
     by_name = said.groupBy("mail", "anchor").agg(F.count(F.lit(1)).alias("n"), F.min("rec_id").alias("low"), F.max("rec_id").alias("high"))
     named = F.col("anchor").isNotNull()
     use = by_name.groupBy("mail").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("anchor").alias("names"), F.sum(F.when(named, F.col("n"))).alias("said"), F.max(F.when(named, F.col("n"))).alias("most"))
@@ -446,13 +516,18 @@ def match(people: DataFrame) -> DataFrame:
     personal = mails.join(use.where((F.col("low") < F.col("high")) & agree).select("mail"), "mail")
 
     node = F.concat(F.lit("r"), F.format_string("%020d", "rec_id"))
-    edges = ties.select(node.alias("a"), F.concat(F.lit("s"), "anchor").alias("b")).unionByName(personal.select(node.alias("a"), F.concat(F.lit("m"), "mail").alias("b")))
-    roots = _components(edges).where(F.col("node").startswith("r")).select(F.substring("node", 2, 20).cast("long").alias("rec_id"), F.col("root").alias("person"))
+    edges = ties.where(F.col("confidence") >= CONFIDENT).select(node.alias("a"), F.concat(F.lit("s"), "anchor").alias("b")).unionByName(personal.select(node.alias("a"), F.concat(F.lit("m"), "mail").alias("b")))
+    roots, roots_at = _components(edges)
+    roots = roots.where(F.col("node").startswith("r")).select(F.substring("node", 2, 20).cast("long").alias("rec_id"), F.col("root").alias("person"))
     sure = ties.groupBy("rec_id").agg(F.max("confidence").alias("confidence"))
     records = people.select(F.col("rec_id").cast("long").alias("rec_id"), F.col("source").cast("string").alias("source")).where(F.col("rec_id").isNotNull()).distinct()
-    return records.join(roots, "rec_id", "left").join(sure, "rec_id", "left").select(
+    persons = records.join(roots, "rec_id", "left").join(sure, "rec_id", "left").select(
         "rec_id", "source", F.coalesce("person", node).alias("person"), F.coalesce("confidence", F.lit(1.0)).alias("confidence")
     )
+    persons, _ = storage.materialise(persons, "persons")
+    for path in (seen_at, anchors_at, unique_at, told_at, ties_at, *roots_at):
+        storage.remove(spark, path)
+    return persons
 
 
 def pairs(persons: DataFrame) -> DataFrame:

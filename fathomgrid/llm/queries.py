@@ -25,6 +25,11 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return people.pairs(people.match(everybody(spark, folder))).select("rec_id_a", "rec_id_b")
 
 
+def p1_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with the confidence of each."""
+    return people.pairs(people.match(everybody(spark, folder)))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Headings, list items, code blocks and formulas of the marked-up texts of tickets."""
     return markup.elements(markup.fields(_table(spark, folder, "tickets")))
@@ -60,5 +65,5 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.split(_table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_text": p3_text, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p3_found": p3_found, "p3_text": p3_text, "p5_found": p5_found, "p5_text": p5_text, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 ORACLES: dict[str, str] = {}

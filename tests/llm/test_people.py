@@ -86,3 +86,16 @@ def test_large_groups_of_one_address(spark):
     person = {r.rec_id: r.person for r in people.match(df).collect()}
     assert len({person[i] for i in range(13)}) == 1 and len({person[i] for i in range(100, 131)}) == 1
     assert len({person[i] for i in (*range(200, 212), 220)}) == 4 and len(set(person.values())) == 6
+
+
+def test_confidence_is_the_rate_of_agreement(spark):
+    """Votes of spellings that the addresses contradict lose their confidence and join no record; a second attribute for another anchor lowers the score."""
+    vote = lambda field, anchor, kind, dice: {"field": field, "anchor": anchor, "kind": kind, "dice": dice}
+    rows = [(i, "s", [vote("email", f"a{i}|", "same", 1.0), vote("slack_display_name", f"b{i}|", "typo", 0.85)]) for i in range(40)]
+    rows += [(100 + i, "s", [vote("email", f"c{i}|", "same", 1.0), vote("name", f"c{i}|", "typo", 0.95)]) for i in range(40)]
+    rows += [(900, "s", [vote("slack_display_name", "x|", "typo", 0.85)]), (901, "s", [vote("name", "y|", "typo", 0.95)]), (902, "s", [vote("name", "y|", "typo", 0.9), vote("slack_display_name", "z|", "typo", 0.9)])]
+    told = spark.createDataFrame(rows, "rec_id long, source string, votes array<struct<field:string,anchor:string,kind:string,dice:double>>")
+    scores = {(r.rec_id, r.anchor): r.score for r in people._weighed(told).collect()}
+    assert scores[900, "x|"] == pytest.approx(0.85) and scores[902, "y|"] == pytest.approx(2.5 * 0.9 / 4.5) and scores[902, "z|"] == pytest.approx(2.0 * 0.9 / 4.5)
+    sure = {(r.rec_id, r.anchor): r.confidence for r in people._confident(people._weighed(told)).collect()}
+    assert sure[900, "x|"] < people.CONFIDENT < 0.9 < sure[901, "y|"] and sure[0, "a0|"] >= 0.95 and sure[100, "c0|"] > 0.99
