@@ -142,3 +142,8 @@ def holds_domain(value: Column, domains: list[str]) -> Column:
     for d in domains:
         out = out | F.contains(F.lower(value), F.lit(d.lower()))
     return out
+
+
+def day_key(date: Column, back: int = 0) -> Column:
+    """A day, or one some days before, as yyyyMMdd."""
+    return F.date_format(F.date_sub(date, back), "yyyyMMdd")

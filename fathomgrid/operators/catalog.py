@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Columns of the catalog tables with their place in the statistics; names that start with total or count default to 0.
 TABLES: dict[str, dict[str, str]] = {
@@ -97,3 +98,14 @@ def summary(stats: dict[str, DataFrame], sums: dict[str, list[str]]) -> DataFram
         names = ["targets", *[p.replace(".", "_") for p in paths]]
         parts.append(totals.select(F.lit(exporter).alias("exporter"), F.explode(F.map_from_entries(F.array(*[F.struct(F.lit(n), F.coalesce(F.col(n), F.lit(0)).cast("long")) for n in names]))).alias("measure", "value")).where("measure <> 'targets' or value > 0"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def totals(parts: dict[str, DataFrame]) -> DataFrame:
+    """Number of rows of several tables, one under the other: part, n."""
+    return reduce(DataFrame.unionAll, [df.groupBy(F.lit(name).alias("part")).agg(F.count(F.lit(1)).alias("n")) for name, df in parts.items()])
+
+
+def ranked(rows: DataFrame, by: str, amount: Column) -> DataFrame:
+    """Sums per group with their place by falling sum, ties by group: place, by, total. The groups are few: they are ranked together."""
+    sums = rows.groupBy(by).agg(F.sum(amount).alias("total"))
+    return sums.select(F.row_number().over(Window.orderBy(F.col("total").desc_nulls_last(), by)).alias("place"), by, "total")

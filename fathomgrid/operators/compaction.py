@@ -1,9 +1,9 @@
 """Many tiny files into few well-sized ones, clustered along a Hilbert curve.
 
-Steps: compute a multidimensional Hilbert code per record, count bytes per code
-bucket exactly, cut the curve into files of equal size from those counts,
-shuffle each record straight to its file, write, and compare digests of source
-and destination rows before publishing.
+Steps: compute a multidimensional Hilbert code per record from the ranks of its
+dimensions, count the bytes of every code exactly, cut the curve into files of
+equal size from those counts, shuffle each record straight to its file, write,
+and compare digests of source and destination rows before publishing.
 """
 
 from __future__ import annotations
@@ -19,15 +19,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from fathomgrid import storage
 
-#: Bits of each dimension, and of the code prefix by which bytes are counted: the histogram has at most 2**PREFIX rows whatever the data.
-BITS, PREFIX = 16, 12
+#: Bits of each dimension: its values are placed by rank among 2**BITS quantiles.
+BITS = 12
 
 
 def hilbert_codes(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -64,11 +64,35 @@ def hilbert_codes(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return code.astype(np.int64)
 
 
-def _scaled(c: Column, low: float | None, high: float | None) -> Column:
-    """A number's place between the extremes as BITS bits; nulls and a single value come first."""
-    if low is None or high is None or high <= low:
-        return F.lit(0)
-    return F.coalesce(F.floor((c - F.lit(low)) / F.lit(high - low) * F.lit((1 << BITS) - 1)), F.lit(0)).cast("int")
+def _quantiles(rows: DataFrame, numbers: list[Column]) -> list[np.ndarray]:
+    """Distinct quantiles of each dimension; values are placed by their rank, so single far ones do not stretch the scale."""
+    shares = [i / (1 << BITS) for i in range(1, 1 << BITS)]
+    found = rows.agg(*[F.percentile_approx(n, shares, 1 << (BITS + 1)).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
+    return [np.unique(np.array(q if q is not None else [], np.float64)) for q in found]
+
+
+def _cuts(coded: DataFrame, weight: Column, file_bytes: int) -> tuple[pd.DataFrame, int, int]:
+    """Codes at which a file begins or that several files share: code, off and len in bytes along the curve; with all bytes and the number of files.
+
+    The bytes of every code are counted exactly and summed along the curve in
+    ranges of codes; only the sums of the ranges and the codes at the files'
+    ends, at most two a file, come to the driver.
+    """
+    spark = coded.sparkSession
+    counts, counts_at = storage.materialise(coded.groupBy("_code").agg(F.sum(weight).alias("len")), "codes")
+    ranges, ranges_at = storage.materialise(counts.repartitionByRange("_code").withColumn("part", F.spark_partition_id()), "ranges")
+    sums = ranges.groupBy("part").agg(F.sum("len").alias("s")).orderBy("part").toPandas()
+    total = int(sums.s.sum())
+    files = max(1, -(-total // file_bytes))
+    base = spark.createDataFrame(pd.DataFrame({"part": sums.part.astype("int32"), "base": (sums.s.cumsum() - sums.s).astype("int64")}), "part int, base long") if len(sums) else spark.createDataFrame([], "part int, base long")
+    along = Window.partitionBy("part").orderBy("_code")
+    placed = ranges.join(F.broadcast(base), "part").select("_code", (F.col("base") + F.sum("len").over(along) - F.col("len")).alias("off"), "len")
+    file_of = lambda at: F.floor(at.cast("decimal(30,0)") * files / F.lit(total))
+    last, first = file_of(F.col("off") + F.col("len") - 1), file_of(F.col("off"))
+    cuts = placed.where((first != last) | (F.col("off") == 0) | (first != file_of(F.col("off") - 1))).toPandas().sort_values("_code")
+    storage.remove(spark, counts_at)
+    storage.remove(spark, ranges_at)
+    return cuts, total, files
 
 
 def digest(rows: DataFrame, columns: list[str]) -> tuple[int, int, int]:
@@ -93,37 +117,37 @@ def compact(rows: DataFrame, path: str, dims: list[Column], size: Column, file_b
     """Write the rows as balanced files in Hilbert order of two to four numeric dimensions.
 
     size: bytes of a row. Null dimensions count as the lowest value. A code that
-    holds far more than a file's share is spread over several files by the hash
-    of its rows, so no task gets an unbounded part. Rows are neither dropped nor
+    holds more than a file's share is spread over several files by the hash of
+    its rows and their places, so no task gets an unbounded part. Rows are neither dropped nor
     merged; repeated rows stay repeated. Raises DigestMismatch and publishes
     nothing if the written rows differ from the given ones. The rows are read
     four times, the first two times only dimensions and size: pass a stored
-    table, not a long plan.
+    table, not a long plan. What comes to the driver and travels to the tasks is
+    bounded by the number of files.
     """
     spark = rows.sparkSession
     columns = rows.columns
     numbers = [d.cast("double") for d in dims]
-    extremes = rows.agg(*[f(n) for n in numbers for f in (F.min, F.max)]).first()
+    quantiles = _quantiles(rows, numbers)
 
     @F.pandas_udf("long")
     def code(points: pd.DataFrame) -> pd.Series:
-        return pd.Series(hilbert_codes(points.to_numpy()))
-
-    scaled = [_scaled(n, extremes[2 * i], extremes[2 * i + 1]).alias(f"d{i}") for i, n in enumerate(numbers)]
-    shift = BITS * len(dims) - PREFIX
-    coded = rows.withColumn("_code", code(F.struct(*scaled)))
-    bucket = F.shiftright("_code", shift)
-    weight = F.sum(F.coalesce(size.cast("long"), F.lit(0)) + 1)
-    counts = coded.groupBy(bucket.alias("b")).agg(weight.alias("s")).toPandas().sort_values("b")
-    total = int(counts.s.sum())
-    files = max(1, -(-total // file_bytes))
-    cuts = pd.DataFrame({"_b": counts.b.astype("int64"), "_off": (counts.s.cumsum() - counts.s).astype("int64"), "_len": counts.s.astype("int64")})
-    placed = coded.withColumn("_b", bucket)
-    if len(cuts):
-        even = F.pmod(F.xxhash64(*columns), F.lit(1 << 20)) / F.lit(1 << 20)
-        place = F.floor((F.col("_off") + even * F.col("_len")) * files / F.lit(total)).cast("int")
-        placed = placed.join(F.broadcast(spark.createDataFrame(cuts, "_b long, _off long, _len long")), "_b")
-        placed = placed.withColumn("_file", F.least(place, F.lit(files - 1))).repartitionById(files, "_file").sortWithinPartitions("_code")
+        ranks = [np.where(np.isnan(v), 0, np.searchsorted(q, v, side="left")) for q, v in zip(quantiles, points.to_numpy(np.float64, na_value=np.nan).T)]
+        return pd.Series(hilbert_codes(np.stack(ranks, 1), BITS))
+
+    coded = rows.withColumn("_code", code(F.struct(*[n.alias(f"d{i}") for i, n in enumerate(numbers)])))
+    cuts, total, files = _cuts(coded, F.coalesce(size.cast("long"), F.lit(0)) + 1, file_bytes)
+    at, off, length = (cuts[c].to_numpy(np.int64) for c in ("_code", "off", "len"))
+
+    @F.pandas_udf("int")
+    def place(codes: pd.Series, even: pd.Series) -> pd.Series:
+        k = np.searchsorted(at, codes.to_numpy(), side="right") - 1
+        inside = at[k] == codes.to_numpy()
+        byte = np.where(inside, off[k] + (even.to_numpy() * length[k]).astype(np.int64), off[k] + length[k] - 1)
+        return pd.Series(np.minimum(byte.astype(object) * files // max(1, total), files - 1).astype(np.int32))
+
+    even = F.pmod(F.xxhash64(F.monotonically_increasing_id(), *columns), F.lit(1 << 20)) / F.lit(1 << 20)
+    placed = coded.withColumn("_file", place("_code", even)).repartitionById(files, "_file").sortWithinPartitions("_code")
     staged = storage.scratch(spark, "staged")
     placed.select(*columns).write.parquet(staged)
     want, got = digest(rows, columns), digest(spark.read.schema(rows.schema).parquet(staged), columns)
@@ -238,7 +262,7 @@ def compact_landed(files: DataFrame, path: str, file_bytes: int = 128 << 20) ->
     spark = files.sparkSession
     book, book_at = storage.materialise(ledger(parse_landed(files)), "ledger")
     order = F.coalesce(F.col("record_id").try_cast("double"), F.regexp_extract("record_id", r"(\d+)$", 1).try_cast("double"))
-    group = F.pmod(F.xxhash64("source", "target"), F.lit(1 << BITS))
+    group = F.pmod(F.xxhash64("source", "target"), F.lit(1 << 16))
     dims = [group, order, F.unix_micros("modified_at")]
     result = compact(book.where(F.col("copies") > 0), path, dims, F.col("chars"), file_bytes)
     kept = spark.read.schema(book.schema).parquet(result.path)

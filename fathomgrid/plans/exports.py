@@ -12,8 +12,8 @@ from fathomgrid.functions import hashing, recognizers, rewriting, text
 from fathomgrid.operators import catalog, documents, identity, maskers, projections, sampling, shaping, stats, validation
 from fathomgrid.plans.corpus_sql import time_sql
 from fathomgrid.plans.reference import ALL_PEOPLE, TEXTS, _entries, people, query, texts
-from fathomgrid.sources import directories, landed, sinks
-from fathomgrid.sources.tables import table
+from fathomgrid.sources import directories, landed, services, sinks
+from fathomgrid.sources.tables import spark_type, table
 from fathomgrid.streaming import resume
 from fathomgrid.streaming.checkpoint import Checkpoint, Statistics
 
@@ -1223,3 +1223,163 @@ def isolated_targets(spark, d):
     numbers = {r.n_name: r.n_nationkey for r in table(spark, d, "nation").collect()}
     done, failed = runtime.each(numbers, work)
     return spark.createDataFrame([(t, True) for t in done] + [(t, False) for t in failed], "target string, done boolean")
+
+
+# paged services
+
+
+def _service(paging: services.Paging, size: int = 10):
+    """A service of numbered items, seven for each number in the name of a target; the first call for a page of target 3 fails."""
+    asked: set[tuple] = set()
+
+    def fetch(target: str, at: dict) -> object:
+        n = int(target) * 7
+        start = (at["page"] - 1) * size if paging.way == "number" else int(at["after"] or 0) if paging.way != "offset" else at["start"]
+        if target == "3" and (start,) not in asked:
+            asked.add((start,))
+            raise ConnectionError("try again")
+        if target == "5":
+            raise PermissionError("no access")
+        found = [{"id": f"{target}-{i}"} for i in range(start, min(n, start + size))]
+        if not paging.items:
+            return found
+        page: dict = {paging.items: found, "ok": not (target == "4" and start >= size), "total": n}
+        if paging.next and start + size < n:
+            way = paging.next.split(".")
+            page[way[0]] = str(start + size) if len(way) == 1 else {way[1]: str(start + size)}
+        return page
+
+    return fetch
+
+
+SERVICE_SQL = "SELECT n_nationkey::VARCHAR AS target, i AS pos, n_nationkey || '-' || i AS id, NULL AS error FROM nation, LATERAL (SELECT unnest(range(n_nationkey * 7)) AS i) WHERE n_nationkey <> 5{} UNION ALL SELECT '5', 0, NULL, 'PermissionError: no access'"
+
+
+def _paged(kind: str):
+    def run(spark, d):
+        paging = services.SERVICES[kind]
+        rows = services.read(table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("target")), _service(paging), paging, attempts=2, base=0.0)
+        return rows.select("target", "pos", F.get_json_object("content", "$.id").alias("id"), "error")
+
+    return run
+
+
+for _name, _kind in (("s11_github", "github"), ("s12_jira", "jira"), ("s12_jira_comments", "jira_comments"), ("s13_slack", "slack"), ("s14_gmail", "gmail"), ("s14_calendar", "calendar"), ("s14_drive", "drive"), ("s15_confluence", "confluence")):
+    query(f"ref_{_name}_pages", SERVICE_SQL.format(" AND NOT (n_nationkey = 4 AND i >= 10)" if _kind == "slack" else ""))(_paged(_kind))
+
+
+# what runs beside the plans
+
+
+@query("ref_g4_retries", "SELECT n_nationkey, least(n_nationkey % 7 + 1, 5)::INTEGER AS calls, n_nationkey % 7 < 5 AS done FROM nation")
+def retries(spark, d):
+    """Calls of a function that fails n modulo 7 times, tried five times, in the tasks."""
+
+    @F.pandas_udf("struct<calls:int,done:boolean>")
+    def tried(numbers):
+        import pandas as pd
+
+        from fathomgrid import runtime
+
+        def one(n: int) -> dict:
+            calls = []
+
+            def flaky() -> bool:
+                calls.append(1)
+                if len(calls) <= n % 7:
+                    raise OSError
+                return True
+
+            try:
+                runtime.retry(attempts=5, sleep=lambda s: None)(flaky)()
+            except OSError:
+                return {"calls": len(calls), "done": False}
+            return {"calls": len(calls), "done": True}
+
+        return pd.DataFrame([one(n) for n in numbers])
+
+    return table(spark, d, "nation").select("n_nationkey", tried("n_nationkey").alias("t")).select("n_nationkey", "t.*")
+
+
+@query("ref_g5_bucket_waits", "SELECT n::INTEGER AS take, greatest(n - 3, 0) * 0.5::DOUBLE AS seconds FROM unnest(range(1, 11)) t(n)")
+def bucket_waits(spark, d):
+    """When each of ten permits is given by a bucket of three that refills two a second."""
+    from fathomgrid import runtime
+
+    now = [0.0]
+
+    def sleep(s: float) -> None:
+        now[0] += s
+
+    bucket = runtime.TokenBucket(2.0, 3.0, clock=lambda: now[0], sleep=sleep)
+    given = []
+    for n in range(1, 11):
+        bucket.take()
+        given.append((n, round(now[0], 6)))
+    return spark.createDataFrame(given, "take int, seconds double")
+
+
+@query("ref_g6_token_choice", "SELECT n_nationkey, CASE WHEN n_nationkey % 4 = 3 THEN 'c' WHEN n_nationkey % 4 = 0 THEN 'a' ELSE 'b' END AS token, CASE WHEN n_nationkey % 4 = 3 THEN 5.0 ELSE 0.0 END::DOUBLE AS wait FROM nation")
+def token_choice(spark, d):
+    """Which of three tokens serves a call, by their budgets, and how long it waits."""
+
+    @F.pandas_udf("struct<token:string,wait:double>")
+    def chosen(numbers):
+        import pandas as pd
+
+        from fathomgrid.runtime import Token, pick_token
+
+        def one(n: int) -> dict:
+            left = {0: (9, 5, 0), 1: (3, 7, 0), 2: (0, 1, 0), 3: (0, 0, 0)}[n % 4]
+            token, wait = pick_token([Token("a", left[0], 120.0), Token("b", left[1], 130.0), Token("c", left[2], 105.0)], 100.0)
+            return {"token": token.name, "wait": wait}
+
+        return pd.DataFrame([one(n) for n in numbers])
+
+    return table(spark, d, "nation").select("n_nationkey", chosen("n_nationkey").alias("t")).select("n_nationkey", "t.*")
+
+
+@query("ref_g9_log_lines", "SELECT n_nationkey, 'INFO' AS level, 'export' AS logger, 'nation ' || n_name AS message, n_nationkey::VARCHAR AS target FROM nation")
+def log_lines(spark, d):
+    """Log records as JSON lines with their extra field, read again."""
+    import logging
+
+    from fathomgrid import runtime
+
+    form = runtime.JsonLines()
+    rows = []
+    for r in table(spark, d, "nation").collect():
+        record = logging.makeLogRecord({"name": "export", "levelname": "INFO", "msg": "nation %s", "args": (r.n_name,), "target": str(r.n_nationkey)})
+        rows.append((r.n_nationkey, form.format(record)))
+    lines = spark.createDataFrame(rows, "n_nationkey int, line string")
+    return lines.select("n_nationkey", F.from_json("line", "level string, logger string, message string, target string").alias("l")).select("n_nationkey", "l.*")
+
+
+@query("ref_x16_types", "SELECT unnest(['STRUCT(a VARCHAR, b BIGINT[])[]', 'MAP(VARCHAR, DOUBLE)', 'STRUCT(\"x\" STRUCT(y DECIMAL(10, 2)))', 'BOOLEAN']) AS text, unnest(['array<struct<a:string,b:array<bigint>>>', 'map<string,double>', 'struct<x:struct<y:decimal(10,2)>>', 'boolean']) AS type")
+def types(spark, d):
+    """Types as another engine writes them, as they are here once Spark has read them."""
+    from pyspark.sql.types import StructType
+
+    texts = ["STRUCT(a VARCHAR, b BIGINT[])[]", "MAP(VARCHAR, DOUBLE)", 'STRUCT("x" STRUCT(y DECIMAL(10, 2)))', "BOOLEAN"]
+    return spark.createDataFrame([(t, StructType.fromDDL(f"v {spark_type(t)}")["v"].dataType.simpleString()) for t in texts], "text string, type string")
+
+
+@query("ref_x30_settings", "SELECT unnest(['A', 'B', 'C', 'D']) AS name, unnest(['7', 'true', 'x|y', 'fallback']) AS value")
+def settings(spark, d):
+    """Settings of a file of NAME=value lines as numbers, switches and lists, with a default for what is not there."""
+    import os
+    import tempfile
+
+    from fathomgrid import runtime
+
+    with tempfile.TemporaryDirectory() as folder:
+        path = f"{folder}/settings.env"
+        with open(path, "w") as f:
+            f.write("# comment\nFATHOMGRID_A=7\nFATHOMGRID_B='yes'\nFATHOMGRID_C=x, y,\n")
+        try:
+            runtime.load_env(path)
+            values = [("A", str(runtime.env_int("FATHOMGRID_A", 1))), ("B", str(runtime.env_bool("FATHOMGRID_B")).lower()), ("C", "|".join(runtime.env_list("FATHOMGRID_C"))), ("D", runtime.env("FATHOMGRID_D", "fallback"))]
+        finally:
+            for n in "ABC":
+                os.environ.pop(f"FATHOMGRID_{n}", None)
+    return spark.createDataFrame(values, "name string, value string")

@@ -446,15 +446,14 @@ def phase_summary(spark, d):
     return table(spark, d, "checkpoints").select("save_id", shaping.phase_summary(F.col("phases")).alias("line"))
 
 
-@query("ref_a17_group_order", "SELECT o_orderstatus AS status, sum(o_totalprice) AS total FROM orders GROUP BY 1")
+@query("ref_a17_group_order", "SELECT row_number() OVER (ORDER BY total DESC)::INTEGER AS place, o_orderstatus, total FROM (SELECT o_orderstatus, sum(o_totalprice) AS total FROM orders GROUP BY 1)")
 def group_order(spark, d):
-    table(spark, d, "orders").createOrReplaceTempView("orders")
-    return spark.sql("SELECT o_orderstatus AS status, sum(o_totalprice) AS total FROM orders GROUP BY o_orderstatus ORDER BY total DESC")
+    return catalog.ranked(table(spark, d, "orders"), "o_orderstatus", F.col("o_totalprice"))
 
 
 @query("ref_a18_union_totals", "SELECT 'tickets' AS part, count(*) AS n FROM tickets UNION ALL SELECT 'files', count(*) FROM landed_files UNION ALL SELECT 'documents', count(*) FROM documents")
 def union_totals(spark, d):
-    return reduce(DataFrame.unionAll, [table(spark, d, t).select(F.lit(n).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n")) for n, t in (("tickets", "tickets"), ("files", "landed_files"), ("documents", "documents"))])
+    return catalog.totals({"tickets": table(spark, d, "tickets"), "files": table(spark, d, "landed_files"), "documents": table(spark, d, "documents")})
 
 
 @query("ref_a19_custom_field_names", "SELECT DISTINCT k AS name FROM (SELECT unnest(map_keys(custom_fields)) AS k FROM tickets)")
@@ -606,7 +605,7 @@ def company_domains(spark, d):
 
 @query("ref_x19_day_arithmetic", "SELECT o_orderkey, strftime(o_orderdate - INTERVAL 3 DAY, '%Y%m%d') AS day FROM orders")
 def day_arithmetic(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", F.date_format(F.date_sub(F.to_date("o_orderdate"), 3), "yyyyMMdd").alias("day"))
+    return table(spark, d, "orders").select("o_orderkey", text.day_key(F.to_date("o_orderdate"), 3).alias("day"))
 
 
 @query("ref_x31_durations", "SELECT event_id, CASE WHEN s < 60 THEN printf('%.1fs', s) WHEN s < 3600 THEN printf('%.1f min', s / 60.0) ELSE printf('%.1f hrs', s / 3600.0) END AS took FROM (SELECT event_id, (event_id % 30) * 360.0::DOUBLE AS s FROM events)")

@@ -35,6 +35,17 @@ def test_balanced_files_and_equal_rows_also_for_a_hot_code(spark):
     assert compaction.digest(rows, rows.columns) == compaction.digest(back.select(*rows.columns), rows.columns)
 
 
+def test_far_values_and_equal_rows_stay_balanced_and_in_order(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") == 5, 10**15).otherwise(F.col("id") % 4000).alias("k"), F.lit("x").alias("content"))
+    same = spark.range(10_000).select(F.lit(17).cast("long").alias("k"), F.lit("same").alias("content"))
+    path = storage.scratch(spark, "compacted")
+    made = compaction.compact(rows.unionByName(same), path, [F.col("k"), F.col("k")], F.lit(99), 150_000)
+    per = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).collect()
+    assert made.files == len(per) == 20 and max(r.n for r in per) < 1.3 * min(r.n for r in per)
+    ends = sorted((r.low, r.high) for r in per if r.high < 10**15)
+    assert all(b[0] >= a[1] - 8 for a, b in zip(ends, ends[1:]))
+
+
 def test_nothing_is_published_when_digests_differ(spark, monkeypatch):
     real = compaction.digest
     calls = []
