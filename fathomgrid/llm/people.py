@@ -419,7 +419,7 @@ def _weighed(told: DataFrame) -> DataFrame:
     told: rec_id, source, votes (field, anchor, kind, dice). The score of an
     anchor is the weighted sum of the Dice scores of the attributes that give
     it, over the weights of all attributes of the record that give any anchor.
-    `score` leaves the address out, which `mail` tells (whether it gives this
+    `score` and `kind` leave the address out, which `mail` tells (whether it gives this
     anchor) and `mail_anchor` (the anchor it gives, if any by its spelling).
     """
     weight = F.create_map(*[x for f, w in WEIGHTS.items() for x in (F.lit(f), F.lit(w))])
@@ -431,7 +431,8 @@ def _weighed(told: DataFrame) -> DataFrame:
         own = F.filter("others", lambda v: v["anchor"] == a)
         given = F.aggregate(own, F.lit(0.0), lambda s, v: s + F.coalesce(weight[v["field"]], F.lit(1.0)) * v["dice"])
         rank = lambda v: F.when(v["kind"] == "same", 5).when(v["kind"] == "joined", 4).when(v["kind"].isin("typo", "joined typo"), 3).when(v["kind"].isin("sound", "own"), 2).otherwise(1)
-        best = F.array_max(F.transform(F.filter("votes", lambda v: v["anchor"] == a), lambda v: F.struct(rank(v).alias("r"), v["kind"].alias("kind"))))
+        by = F.when(F.size(own) > 0, own).otherwise(F.filter("votes", lambda v: v["anchor"] == a))
+        best = F.array_max(F.transform(by, lambda v: F.struct(rank(v).alias("r"), v["kind"].alias("kind"))))
         return F.struct(a.alias("anchor"), best["kind"].alias("kind"), F.when(F.size(own) > 0, F.least(F.lit(1.0), given / F.col("all"))).alias("score"), F.exists("votes", lambda v: (v["anchor"] == a) & (v["field"] == "email")).alias("mail"))
 
     spelled = F.filter("votes", lambda v: (v["field"] == "email") & v["kind"].isin("same", "own", "joined"))
