@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fathomgrid import storage
 from fathomgrid.functions import hashing
 
 #: Attributes of a person record in the order in which they are kept.
@@ -128,7 +129,7 @@ def numbered(rows: DataFrame, by: str, start: int = 0) -> DataFrame:
     counts are one small row per partition.
     """
     spark = rows.sparkSession
-    parts = rows.repartitionByRange(F.col(by)).withColumn("_p", F.spark_partition_id()).persist()
+    parts, _ = storage.materialise(rows.repartitionByRange(F.col(by)).withColumn("_p", F.spark_partition_id()), "numbered")
     counts = parts.groupBy("_p").count().orderBy("_p").collect()
     base, at = [], start
     for r in counts:
