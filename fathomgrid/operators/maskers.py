@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathomgrid import storage
 from fathomgrid.functions import hashing, rewriting, text
 from fathomgrid.operators import masking
 from fathomgrid.sources.landed import is_office, should_process
@@ -144,6 +145,7 @@ SCANNED: dict[str, Callable[[Scanner], Rules]] = {
 
 def scan_items(items: DataFrame, kind: str, scanner: Scanner) -> DataFrame:
     """Items of a kind with people replaced and texts scanned, in one projection without Python. Columns without a rule stay; kinds without rules (repository metadata, channels, calendars) are scanned whole."""
+    items = storage.spread(items)
     if kind not in SCANNED:
         return masking.mask_columns(items, {}, scanner.scan)
     rules = {k: r for k, r in SCANNED[kind](scanner).items() if k.split(".")[0] in items.columns}

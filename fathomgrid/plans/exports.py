@@ -135,7 +135,7 @@ MAIL_SQL = "SELECT c_custkey, 'Order ' || c_custkey AS subject, 'c' || c_custkey
 
 
 def _mails(spark, d):
-    c = table(spark, d, "customer")
+    c = storage.spread(table(spark, d, "customer"))
     k = F.col("c_custkey").cast("string")
     head = F.concat(F.lit("From: C <c"), k, F.lit("@shop.test>\r\nTo: A <a@x.test>, b"), k, F.lit("@y.test\r\nSubject: Order "), k, F.lit('\r\nX-Mailer: m 1.2\r\nMIME-Version: 1.0\r\nContent-Type: multipart/mixed; boundary="=b"\r\n\r\n'))
     body = F.concat(F.lit("--=b\r\nContent-Type: text/plain\r\n\r\nDear "), "c_name", F.lit('\r\n--=b\r\nContent-Type: application/pdf; name="o.pdf"\r\nContent-Disposition: attachment; filename="o'), k, F.lit('.pdf"\r\n\r\nx\r\n--=b--\r\n'))

@@ -150,7 +150,7 @@ def _plan_nodes(df: DataFrame) -> Iterator[str]:
         node = todo.pop()
         name = node.nodeName()
         yield name
-        inner = [node.inputPlan()] if name == "AdaptiveSparkPlan" else []
+        inner = [node.executedPlan()] if name == "AdaptiveSparkPlan" else []
         todo += inner + [node.children().apply(i) for i in range(node.children().size())]
 
 
@@ -160,7 +160,7 @@ def spread(df: DataFrame) -> DataFrame:
     Tables with enough partitions, as all large ones have, are not shuffled.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if any("Exchange" in n or "Stage" in n for n in _plan_nodes(df)):
+    if any("Exchange" in n or n.endswith("QueryStage") for n in _plan_nodes(df)):
         return df  # shuffled already; counting partitions would run its stages
     return df if df._jdf.rdd().getNumPartitions() >= want else df.repartition(want)
 

@@ -120,3 +120,12 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert spark.read.parquet(f"file://{tmp_path}/ref_s22_days").count() == 14
     with pytest.raises(SystemExit):
         __main__.main(["nothing"])
+
+
+def test_small_tables_are_spread_and_shuffled_ones_are_not(spark, folder):
+    from fathomgrid import storage
+
+    rows = spark.read.parquet(f"{folder}/customer.parquet").selectExpr("c_custkey", "upper(c_name) as exchange_name")
+    assert storage.spread(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > rows.rdd.getNumPartitions()
+    grouped = rows.groupBy("exchange_name").count()
+    assert storage.spread(grouped) is grouped
