@@ -165,5 +165,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df._jdf.rdd().getNumPartitions() >= want else df.repartition(want)
 
 
+def scatter(df: DataFrame) -> DataFrame:
+    """The rows over four tasks a core, for work that takes far longer than moving them.
+
+    After a shuffle small results come in few partitions, however much is to be
+    computed on each row; partitions asked for by number stay as they are.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def dump_json(value: Any) -> str:
     return json.dumps(value, sort_keys=True, ensure_ascii=False, default=str)
