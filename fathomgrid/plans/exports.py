@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fathomgrid import storage
 from fathomgrid.functions import hashing, recognizers, rewriting, text
-from fathomgrid.operators import catalog, documents, identity, maskers, projections, sampling, shaping, stats, validation
+from fathomgrid.operators import catalog, documents, identity, maskers, masking, projections, sampling, shaping, stats, validation
 from fathomgrid.plans.corpus_sql import time_sql
 from fathomgrid.plans.reference import ALL_PEOPLE, TEXTS, _entries, people, query, texts
 from fathomgrid.sources import directories, landed, services, sinks
@@ -1097,8 +1097,6 @@ def roster_fallbacks(spark, d):
 @query("ref_x11_random_ids", "SELECT event_id, 32 AS length, true AS distinct_ids FROM events")
 def random_ids(spark, d):
     """Random ids: each of 32 digits, no two of them equal for equal values of the next event."""
-    from fathomgrid.operators import masking
-
     masked = masking.mask_events(table(spark, d, "events").select("event_id", F.lit("same").alias("user_pseudo_id"), F.lit("same").alias("user_id")))
     return masked.select("event_id", F.length("user_pseudo_id").alias("length"), (F.col("user_pseudo_id") != F.col("user_id")).alias("distinct_ids"))
 
@@ -1383,3 +1381,90 @@ def settings(spark, d):
             for n in "ABC":
                 os.environ.pop(f"FATHOMGRID_{n}", None)
     return spark.createDataFrame(values, "name string, value string")
+
+
+# what is left: sinks, sets, structs
+
+
+@query("ref_k5_parquet_sink", "SELECT count(*) AS written, count(*) AS found, sum(user_id)::BIGINT AS users FROM events")
+def parquet_sink(spark, d):
+    """Rows counted while they are written, and found again."""
+    path = _local(spark, "sink")
+    n = sinks.write_parquet(table(spark, d, "events"), path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("found"), F.sum("user_id").alias("users")).select(F.lit(n).cast("long").alias("written"), "found", "users")
+
+
+@query("ref_k9_reencoded", "SELECT doc_id, length(replace(replace(text, chr(13), ''), chr(10), ''))::INTEGER AS n, CASE WHEN doc_id % 2 = 0 THEN 'eml' ELSE 'docx' END AS kind FROM documents WHERE text <> ''")
+def reencoded(spark, d):
+    """Texts as mails and office documents, masked in one pass by kind with turning round for a scan, and read again: length of the text found, line ends aside."""
+    plain = storage.spread(table(spark, d, "documents").where("text <> ''").select("doc_id", "text"))
+
+    @F.pandas_udf("binary")
+    def packed(texts):
+        from xml.sax.saxutils import escape
+
+        return texts.map(lambda t: documents.package({"word/document.xml": f"<w:p><w:r><w:t>{escape(t)}</w:t></w:r></w:p>"}))
+
+    kind = F.when(F.col("doc_id") % 2 == 0, "eml").otherwise("docx")
+    raw = F.when(F.col("doc_id") % 2 == 0, F.encode(F.concat(F.lit("From: a@b.test\r\nSubject: s\r\nContent-Type: text/plain; charset=utf-8\r\n\r\n"), "text"), "utf-8")).otherwise(packed("text"))
+    masked = plain.select("doc_id", kind.alias("kind"), documents.masked_bytes(raw, kind, lambda t: t[::-1], lambda a: a, lambda n: n).alias("raw"))
+
+    @F.pandas_udf("int")
+    def size(raws, kinds):
+        import io
+        import re
+        import zipfile
+        from xml.sax.saxutils import unescape
+
+        import pandas as pd
+
+        def one(raw: bytes, kind: str) -> int:
+            if kind == "eml":
+                return len(re.sub(r"[\r\n]", "", documents.read_mail(raw)["text"] or ""))
+            with zipfile.ZipFile(io.BytesIO(raw)) as z:
+                return len(re.sub(r"[\r\n]", "", unescape("".join(re.findall(r">([^<]*)<", z.read("word/document.xml").decode())))))
+
+        return pd.Series([one(r, k) for r, k in zip(raws, kinds)])
+
+    return masked.select("doc_id", size("raw", "kind").alias("n"), "kind")
+
+
+@query("ref_j9_field_names", "SELECT load_id, CASE WHEN length(k) % 2 = 0 THEN 'Custom field (' || k || ')' ELSE 'Custom field (customfield_' || md5(k) || ')' END AS field FROM (SELECT load_id, unnest(map_keys(custom_fields)) AS k FROM tickets)")
+def field_names(spark, d):
+    """Names of custom fields by id; an id that the table of names lacks stays as it is."""
+    ident = lambda k: F.concat(F.lit("customfield_"), F.md5(k))
+    t = table(spark, d, "tickets").select("load_id", F.map_from_entries(F.transform(F.map_keys("custom_fields"), lambda k: F.struct(ident(k), F.lit('"v"')))).alias("fields"))
+    names = shaping.custom_fields(table(spark, d, "tickets"), "load_id", "custom_fields").where("length(field) % 2 = 0").select(ident(F.col("field")).alias("id"), F.col("field").alias("name")).distinct()
+    return shaping.custom_fields(shaping.named_fields(t, "load_id", "fields", names), "load_id", "custom_fields").select("load_id", "field")
+
+
+@query("ref_j10_message_files", "SELECT ts, count(*) AS files, count(local_file) AS got FROM (SELECT load_id::VARCHAR AS ts, CASE WHEN f.mime_type LIKE 'image/%' THEN NULL ELSE f.id END AS local_file FROM (SELECT load_id, unnest(attachments) AS f FROM tickets) WHERE f.id IS NOT NULL) GROUP BY 1")
+def message_files(spark, d):
+    """Files of messages and how many of them were downloaded."""
+    return local_files(spark, d).groupBy("ts").agg(F.count(F.lit(1)).alias("files"), F.count("local_file").alias("got"))
+
+
+@query("ref_u3_exporter_totals", "SELECT 'jira' AS exporter, 'items' AS measure, count(*) AS value FROM tickets UNION ALL SELECT 'slack', 'items', count(*) FROM landed_files WHERE source = 'slack' UNION ALL SELECT 'confluence', 'items', count(*) FROM documents")
+def exporter_totals(spark, d):
+    count = lambda df: df.agg(F.count(F.lit(1)).alias("items"))
+    docs = {"jira": count(table(spark, d, "tickets")), "slack": count(table(spark, d, "landed_files").where("source = 'slack'")), "confluence": count(table(spark, d, "documents"))}
+    return catalog.summary(docs, {k: ["items"] for k in (*docs, "github")}).where("measure = 'items'")
+
+
+@query("ref_u7_difference", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def difference(spark, d):
+    """Orders without any returned line: the same anti-join by which a run leaves out what is done."""
+    returned = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return resume.remaining(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", returned)
+
+
+@query("ref_x14_rebuilt_structs", """
+SELECT event_id, md5('key:' || event_type) AS vendor_id, event_type AS category, '/doctor/redacted' AS page, CASE WHEN props IS NULL THEN NULL ELSE md5('key:' || props) END AS gclid, user_id::BIGINT AS n FROM events""")
+def rebuilt_structs(spark, d):
+    """Structs rebuilt field by field: identifiers by key, addresses rewritten, numbers as they are."""
+    c = F.col
+    rows = table(spark, d, "events").select(
+        "event_id", F.struct(c("event_type").alias("vendor_id"), c("event_type").alias("category"), c("user_id").cast("long").alias("n")).alias("device"), F.struct(F.concat(F.lit("/doctor/"), "event_type").alias("page")).alias("web"), F.struct(c("props").alias("gclid")).alias("collected_traffic_source")
+    )
+    masked = masking.mask_events(rows, keyed="key:")
+    return masked.select("event_id", "device.vendor_id", "device.category", "web.page", "collected_traffic_source.gclid", "device.n")
