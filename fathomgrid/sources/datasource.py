@@ -14,19 +14,14 @@ from collections.abc import Iterator
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-SCHEMA = "key string, content string"
-
+from fathomgrid.sources.tables import file_system
 
-def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    if "://" in folder:
-        return fs.FileSystem.from_uri(folder)
-    return fs.LocalFileSystem(), folder.removeprefix("file:")
+SCHEMA = "key string, content string"
 
 
 def _listed(folder: str, suffix: str) -> list[tuple[int, str]]:
     """Landing time and key of the items of a folder, in order; descriptions are no items."""
-    system, root = _open(folder)
-    root = root.rstrip("/")
+    system, root = file_system(folder)
     found = []
     for info in system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True)):
         name = info.path.rpartition("/")[2]
@@ -50,9 +45,9 @@ class _Landed:
         return [Page(keys[i : i + self.page]) for i in range(0, len(keys), self.page)] or [Page([])]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        system, root = _open(self.folder)
+        system, root = file_system(self.folder)
         for key in partition.keys:
-            with system.open_input_stream(f"{root.rstrip('/')}/{key}") as f:
+            with system.open_input_stream(f"{root}/{key}") as f:
                 yield key, f.read().decode("utf-8", "replace")
 
 

@@ -7,12 +7,14 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomgrid import storage
 from fathomgrid.functions import text
+from fathomgrid.sources.tables import file_system
 
 # Folders and files that describe an export and are no items.
 INFRASTRUCTURE = ("_checkpoints/", "_manifest/")
@@ -25,10 +27,27 @@ SKIPPED_DRIVE = ("folder", "shortcut", "map", "site", "fusiontable")
 
 
 def list_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Files below a folder without reading them: key (relative path) and length."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
-    base = folder.rstrip("/").split("://")[-1]
-    return found.select(F.regexp_replace("path", f"^.*?{re.escape(base)}/", "").alias("key"), "length")
+    """Files below a folder without reading them, empty ones too: key (relative path) and length. A missing folder has none.
+
+    The folders of the first level are listed by the tasks, each with all that
+    is below it, through Arrow's file systems.
+    """
+    root = folder.rstrip("/")
+    system, at = file_system(root)
+    top = system.get_file_info(fs.FileSelector(at, allow_not_found=True))
+    own = spark.createDataFrame([(i.base_name, i.size) for i in top if i.is_file], "key string, length long")
+    folders = [(i.base_name,) for i in top if not i.is_file]
+    if not folders:
+        return own
+
+    def listed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, at = file_system(root)
+        for b in it:
+            for name in b.column(0).to_pylist():
+                found = [i for i in system.get_file_info(fs.FileSelector(f"{at}/{name}", recursive=True)) if i.is_file]
+                yield pa.RecordBatch.from_arrays([pa.array([i.path[len(at) + 1 :] for i in found], pa.string()), pa.array([i.size for i in found], pa.int64())], names=["key", "length"])
+
+    return own.unionByName(spark.createDataFrame(folders, "folder string").repartition(min(len(folders), 1000)).mapInArrow(listed, "key string, length long"))
 
 
 def entities(keys: DataFrame, key: str, level: int) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fathomgrid import storage
+from fathomgrid.sources.tables import file_system
 
 
 def write_lines(rows: DataFrame, path: str, dry_run: bool = False) -> list[str]:
@@ -49,13 +50,6 @@ def content_type(key: Column) -> Column:
     return out
 
 
-def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
-    if "://" in folder:
-        system, root = fs.FileSystem.from_uri(folder)
-        return system, root.rstrip("/")
-    return fs.LocalFileSystem(), folder.removeprefix("file:").rstrip("/")
-
-
 def _put(system: fs.FileSystem, path: str, data: bytes | None, source: fs.NativeFile | None = None) -> None:
     """Write a file beside its place and move it there, so that a reader never sees a part."""
     system.create_dir(path.rpartition("/")[0], recursive=True)
@@ -77,7 +71,7 @@ def write_files(files: DataFrame, folder: str) -> int:
     """
 
     def write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _file_system(folder)
+        system, root = file_system(folder)
         n = 0
         for b in it:
             for key, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -101,7 +95,7 @@ def copy_keys(keys: DataFrame, source: str, target: str) -> int:
     """
 
     def copy(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (system, root), (into, to) = _file_system(source), _file_system(target)
+        (system, root), (into, to) = file_system(source), file_system(target)
         n = 0
         for b in it:
             for key in b.column(0).to_pylist():

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system of a folder, given as an address or a local path, and the folder's path in it."""
+    if "://" in folder:
+        system, root = fs.FileSystem.from_uri(folder)
+        return system, root.rstrip("/")
+    return fs.LocalFileSystem(), folder.removeprefix("file:").rstrip("/")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
