@@ -340,7 +340,7 @@ def _aligned(pairs: DataFrame) -> DataFrame:
                     found.append((r, d, i))
             yield _batch(found, schema)
 
-    return pairs.select("row", "doc_id", "kind", "stretch", "own", "item", "words", "hashes").mapInArrow(batches, schema)
+    return storage.scatter(pairs.select("row", "doc_id", "kind", "stretch", "own", "item", "words", "hashes")).mapInArrow(batches, schema)
 
 
 def leaks(items: DataFrame, documents: DataFrame) -> DataFrame:
