@@ -312,7 +312,7 @@ def near_pairs(strings: DataFrame) -> DataFrame:
             rows = b.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(second, pa.int64()), pa.array(gone2, pa.int32())], names=[*b.schema.names, "key2", "gone2"])
 
-    coded, coded_at = storage.materialise(strings.select("text", "lhs", "rhs").mapInArrow(batches, schema), "coded")
+    coded, coded_at = storage.materialise(storage.scatter(strings.select("text", "lhs", "rhs")).mapInArrow(batches, schema), "coded")
     flat = coded.select("text", "lhs", "rhs", *words, F.explode("keys").alias("k")).select("text", "lhs", "rhs", *words, "k.*")
     hot = flat.groupBy("key").agg((F.count_if("lhs") * F.count_if("rhs")).alias("pairs")).where(F.col("pairs") > HOT).select("key")
     hot, hot_at = storage.materialise(hot, "hot")
@@ -361,7 +361,7 @@ def _anchored(strings: DataFrame) -> DataFrame:
             rows = [(f, t, o, w, *g) for f, t, o, w in zip(*(b.column(i).to_pylist() for i in range(4))) if (g := fit(f, t, o))]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.float64()))], names=["form", "text", "anchor", "weight", "kind", "dice"])
 
-    fits = offered.select("form", "text", "other", F.col("weight").cast("long").alias("weight")).mapInArrow(batches, "form string, text string, anchor string, weight long, kind string, dice double")
+    fits = storage.scatter(offered.select("form", "text", "other", F.col("weight").cast("long").alias("weight"))).mapInArrow(batches, "form string, text string, anchor string, weight long, kind string, dice double")
     rank = F.when(F.col("kind") == "joined", 3).when(F.col("kind").isin("typo", "joined typo"), 2).otherwise(1)
     best = fits.groupBy("form", "text").agg(F.max(F.struct(rank.alias("r"), "dice", "kind", "anchor")).alias("best"), F.collect_list(F.struct(rank.alias("r"), "anchor")).alias("all"))
     alone = F.size(F.array_distinct(F.transform(F.filter("all", lambda x: x["r"] == F.col("best")["r"]), lambda x: x["anchor"]))) == 1
