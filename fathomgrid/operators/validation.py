@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fathomgrid import storage
 from fathomgrid.functions.text import holds_domain
 from fathomgrid.operators.compaction import readable
 from fathomgrid.operators.documents import read_mail
 from fathomgrid.operators.sampling import rank_key
 
-#: Values in one block of the dictionary: larger sets take several passes.
+#: Most values that travel to the tasks as one dictionary; larger sets are joined by the hashes of their first GRAM characters.
 BLOCK = 200_000
+#: Characters of a value by which it is joined, and bits of the filter over them as a power of two (8 MB).
+GRAM, FILTER = 5, 26
 
 
 def leak_values(entries: DataFrame) -> DataFrame:
@@ -62,17 +66,87 @@ class _Finder:
                 at = low.find(value, at + 1)
 
 
+def lowered(text: str) -> str:
+    """Lower case character by character, so that places hold for letters whose lower case is longer."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def _grams(text: str) -> np.ndarray:
+    """Hashes of the runs of GRAM characters of a text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if len(codes) < GRAM:
+        return np.zeros(0, np.uint64)
+    h = np.zeros(len(codes) - GRAM + 1, np.uint64)
+    for i in range(GRAM):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : len(codes) - GRAM + 1 + i]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    return h ^ (h >> np.uint64(27))
+
+
 def leaks(texts: DataFrame, key: str, text: str, values: DataFrame, context: int = 30) -> DataFrame:
     """Values found in texts, each once per text: key, kind, value, at, context.
 
     Names count only between characters that are neither letters nor digits,
-    other kinds anywhere; case is ignored. `at` is the first place. The values
-    travel to the tasks in blocks of bounded size, each against all texts, so
-    there is neither a cross join nor an unbounded broadcast.
+    other kinds anywhere; case is ignored. `at` is the first place. Up to BLOCK
+    values go to the tasks as one dictionary. More of them are joined: one pass
+    over the texts gives the places where a value can begin, by a bit filter of
+    fixed size over the first characters of all values, and the join by those
+    characters decides; only values shorter than that go in blocks.
     """
+    clean = values.select("kind", "value").where(F.col("value") != "").distinct()
+    if clean.limit(BLOCK + 1).count() <= BLOCK:
+        return _dictionary_leaks(texts, key, text, clean, context)
+    short = F.length("value") < GRAM
+    joined = _joined_leaks(texts, key, text, clean.where(~short), context)
+    return joined.unionByName(_dictionary_leaks(texts, key, text, clean.where(short), context))
+
+
+def _joined_leaks(texts: DataFrame, key: str, text: str, values: DataFrame, context: int) -> DataFrame:
+    spark = texts.sparkSession
+
+    def coded(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            own = [int(_grams(v[:GRAM]).view(np.int64)[0]) for v in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.int64())], names=["kind", "value", "gram"])
+
+    known, _ = storage.materialise(values.mapInArrow(coded, "kind string, value string, gram long"), "leak-values")
+    place = F.shiftrightunsigned("gram", 64 - FILTER)
+    words = known.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")).toArrow()
+    bits = np.zeros(1 << (FILTER - 6), np.uint64)
+    bits[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    shared, longest = spark.sparkContext.broadcast(bits), int(known.agg(F.max(F.length("value"))).first()[0] or 0)
+    schema = f"{key} {dict(texts.dtypes)[key]}, row long, at int, gram long, piece string, around string"
+
+    def places(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for b in it:
+            rows, out = [], []
+            for i, (row, t) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+                if not t:
+                    continue
+                low = lowered(t)
+                h = _grams(low)
+                p = h >> np.uint64(64 - FILTER)
+                for at in np.flatnonzero((table[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1)).tolist():
+                    rows.append(i)
+                    out.append((row, at, int(h[at : at + 1].view(np.int64)[0]), (low[at - 1] if at else " ") + low[at : at + longest] + (low[at + longest : at + longest + 1] or " "), t[max(0, at - context) : at + longest + context]))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), *(pa.array([o[i] for o in out], k) for i, k in enumerate(kinds))], names=[key, "row", "at", "gram", "piece", "around"])
+
+    found = texts.select(key, F.monotonically_increasing_id().alias("row"), text).mapInArrow(places, schema).join(known, "gram")
+    n = F.length("value")
+    alone = ~F.substring("piece", 1, 1).rlike(r"[\p{L}\p{N}]") & ~F.substring("piece", n + 2, F.lit(1)).rlike(r"[\p{L}\p{N}]")
+    hits = found.where((F.substring("piece", F.lit(2), n) == F.col("value")) & ((F.col("kind") != "name") | alone))
+    around = F.substring("around", F.lit(1), F.least("at", F.lit(context)) + n + F.lit(context))
+    first = hits.groupBy("row", key, "kind", "value").agg(F.min(F.struct("at", around.alias("context"))).alias("f"))
+    return first.select(key, "kind", "value", "f.at", "f.context")
+
+
+def _dictionary_leaks(texts: DataFrame, key: str, text: str, values: DataFrame, context: int) -> DataFrame:
+    """Values in blocks, each as one automaton against all texts."""
     spark = texts.sparkSession
     schema = f"{key} {dict(texts.dtypes)[key]}, kind string, value string, at int, context string"
-    source = values.select("kind", "value").where(F.col("value") != "").distinct().toLocalIterator()
+    source = values.select("kind", "value").toLocalIterator()
     found: DataFrame | None = None
     while rows := [(r[0], r[1]) for r in islice(source, BLOCK)]:
         shared = spark.sparkContext.broadcast(rows)
@@ -88,7 +162,7 @@ def leaks(texts: DataFrame, key: str, text: str, values: DataFrame, context: int
                 for i, t in enumerate(b.column(1).to_pylist()):
                     if not t:
                         continue
-                    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in t)
+                    low = lowered(t)
                     seen = set()
                     for _, value, end in finder.hits(low):
                         for n in [len(value)] if value else lengths:

@@ -141,3 +141,13 @@ def test_documents_and_raw_records(spark):
     assert flat[1].key == "A-1" and flat[1].labels == [] and flat[1].votes == 0 and flat[1].time_spent == "" and flat[1].assignee is None and flat[2].key is None and flat[3].labels == []
     pages = spark.createDataFrame([("s", None, [(5, False), (7, True), None]), ("s", [None, "c"], None)], "space string, comments array<string>, attachments array<struct<size:long,failed:boolean>>")
     assert stats.page_stats(pages, "space").first()[1:] == (2, 1, 1, 1, 1, 5)
+
+
+def test_leaks_by_join_are_those_by_dictionary(spark, folder, monkeypatch):
+    texts = spark.createDataFrame([(1, "Mail ANN@x.test or Ann Vane, ann vanes"), (1, "Mail ANN@x.test"), (2, None), (3, ""), (4, "İx Bo Li-Lang; xann@x.test"), (5, "id 12"), (6, "Ann Vane")], "k long, t string")
+    values = spark.createDataFrame([("email", "ann@x.test"), ("name", "ann vane"), ("name", "bo li-lang"), ("id", "id 1"), ("name", "mail ann"), ("email", "")], "kind string, value string")
+    show = lambda df: sorted(map(tuple, df.collect()))
+    want = show(validation.leaks(texts, "k", "t", values))
+    monkeypatch.setattr(validation, "BLOCK", 2)
+    assert show(validation.leaks(texts, "k", "t", values)) == want and len(want) == 9
+    assert validation.leaks(texts.where("false"), "k", "t", values).count() == 0 and validation.leaks(texts, "k", "t", values.where("false")).count() == 0
