@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Payment handles.
-UPI = (
-    "okaxis oksbi okicici okhdfcbank okkotak ybl paytm upi apl ibl axisbank sbi icici hdfcbank kotak indus citi boi pnb unionbank canara bob airtel jio freecharge phonepe gpay"
-).split()
+UPI = [
+    "okaxis", "oksbi", "okicici", "okhdfcbank", "okkotak", "ybl", "paytm", "upi", "apl", "ibl", "axisbank", "sbi",
+    "icici", "hdfcbank", "kotak", "indus", "citi", "boi", "pnb", "unionbank", "canara", "bob", "airtel", "jio",
+    "freecharge", "phonepe", "gpay",
+]
 
 
 class Pattern(NamedTuple):

@@ -342,10 +342,11 @@ def resolved_persons(spark, d):
 
 
 @query("ref_j5_merged_persons", PERSON_SQL + f"""
-SELECT r.person AS person, coalesce(arg_min(a.name, a.rec_id) FILTER (a.name <> ''), '') AS name, coalesce(arg_min(a.github_login, a.rec_id) FILTER (a.github_login <> ''), '') AS github_login, count(*) AS records
-FROM resolved r JOIN {ALL_PEOPLE} a USING (rec_id) GROUP BY 1""")
+SELECT r.person AS person, coalesce(arg_min(a.name, a.rec_id) FILTER (a.name <> ''), '') AS name, coalesce(arg_min(a.github_login, a.rec_id) FILTER (a.github_login <> ''), '') AS github_login, count(*) AS records, coalesce(any_value(s.sources), []) AS sources
+FROM resolved r JOIN {ALL_PEOPLE} a USING (rec_id) LEFT JOIN (
+  SELECT person, list(s ORDER BY o, s) AS sources FROM (SELECT person, s, min(rec_id) AS o FROM (SELECT r.person, r.rec_id, unnest(a.sources) AS s FROM resolved r JOIN {ALL_PEOPLE} a USING (rec_id)) WHERE s IS NOT NULL GROUP BY 1, 2) GROUP BY 1) s ON s.person = r.person GROUP BY 1""")
 def merged_persons(spark, d):
-    return identity.merge_persons(people(spark, d), "rec_id").select("person", "name", "github_login", "records")
+    return identity.merge_persons(people(spark, d), "rec_id").select("person", "name", "github_login", "records", "sources")
 
 
 @query("ref_j6_incremental_roster", """
@@ -505,6 +506,13 @@ def stratified_sample(spark, d):
     return sampling.stratified(table(spark, d, "documents").select("source", "doc_id"), "source", "doc_id", 10, 4)
 
 
+@query("ref_o5_target_shares", "SELECT source, n, CASE source WHEN 'jira' THEN greatest(3, n // 100) WHEN 'slack' THEN greatest(10, n // 30) ELSE least(n, 5) END AS targets FROM (SELECT source, count(DISTINCT target) AS n FROM landed_files GROUP BY 1)")
+def target_shares(spark, d):
+    """How many targets of each source a sample takes, given how many there are."""
+    counts = table(spark, d, "landed_files").groupBy("source").agg(F.count_distinct("target").alias("n")).collect()
+    return spark.createDataFrame([(r.source, r.n, sampling.target_share(r.source, r.n)) for r in counts], "source string, n long, targets long")
+
+
 @query("ref_o8_message_order", r"SELECT file_id, coalesce(try_cast(regexp_extract(path, '(\d{10}\.\d{6})') AS DOUBLE), 0) AS at FROM landed_files")
 def message_order(spark, d):
     return table(spark, d, "landed_files").select("file_id", sampling.numeric_ts(F.regexp_extract("path", r"(\d{10}\.\d{6})", 1)).alias("at"))
