@@ -60,19 +60,14 @@ def _resolve(state: DataFrame, name: str, path: bool = False) -> tuple[DataFrame
 def _cycle_nodes(open_nodes: DataFrame, left: int) -> tuple[DataFrame, list[str]]:
     """Nodes on cycles with the smallest key of their cycle.
 
-    open_nodes: key, parent, every parent among the keys. After enough doubling
-    every jump lands on a cycle, and the landing places are all of its nodes:
-    a jump permutes a cycle. The number of landing places stops falling then.
-    The minimum over a window that doubles with the jump covers the cycle once
-    it is longer than the number of landing places.
+    open_nodes: key, parent, every parent among the keys; left: their number.
+    A jump of at least that many steps lands on a cycle from everywhere, and the
+    landing places are all of its nodes: a jump permutes a cycle. The minimum
+    over a window as long as the jump covers the cycle.
     """
     state, at = storage.materialise(open_nodes.select("key", F.col("parent").alias("anc"), F.least("key", "parent").alias("low")), "cycle")
-    used, span, before = [at], 1, -1
-    while True:
-        landing = state.select("anc").distinct().count()
-        if landing == before and span >= landing:
-            break
-        before = landing
+    used, span = [at], 1
+    while span < left:
         hop = state.select(F.col("key").alias("anc"), F.col("anc").alias("anc2"), F.col("low").alias("low2"))
         state, at = storage.materialise(
             state.join(hop, "anc").select("key", F.col("anc2").alias("anc"), F.least("low", "low2").alias("low")), "cycle"
