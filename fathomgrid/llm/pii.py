@@ -39,7 +39,8 @@ NAMED = 0.2
 
 _AT = r"(?:@|＠|%40|&#64;|\(at\)|\[at\])"
 _REST = r"|[+]?\d+(?:[.\-–]\d+)+|[+]\d+|\d+[^\W\d_]?(?=[^\w]|$)|[^\W_]+(?:[-’](?=\w)[^\W_]+|_[^\W_]+)*(?:['’](?=s\b))?|\n+|[^\w\s]|_+"
-_TOKEN = re.compile(rf"https?://[^\s<>\"']+|(?:[\w%+-]|\.(?=\w))+{_AT}\w(?:[\w-]|\.(?=\w))*(?::[\w./~-]+)?|@[\w-]+/[\w.-]+" + _REST)
+#: A local part begins where no other could, so that a long run without address is tried once.
+_TOKEN = re.compile(rf"https?://[^\s<>\"']+|(?<![\w%+-])(?<![\w%+-]\.)(?:[\w%+-]|\.(?=\w))+{_AT}\w(?:[\w-]|\.(?=\w))*(?::[\w./~-]+)?|@[\w-]+/[\w.-]+" + _REST)
 #: The same for texts without any sign of a mail address.
 _PLAIN = re.compile(r"https?://[^\s<>\"']+" + _REST)
 _BREAK = re.compile(r"\n")
@@ -574,13 +575,14 @@ def find(texts: list[str | None], field: Field, said: Counter[str] | None = None
             e = k + 1
             while e < len(words) and LABELS[labels[e]] == f"I-{kind}":
                 e += 1
+            after = e
             while e > k + 1 and words[e - 1] in (",", ";", ":", "/", "-", "–"):
                 e -= 1
             start, end = _begin(kind, texts[i], starts[k]), starts[e - 1] + len(words[e - 1].rstrip("'’"))  # type: ignore[arg-type]
             value = texts[i][start:end]  # type: ignore[index]
             if _valid(kind, value) and not (kind == "person_name" and said is None and _ordinary(value, texts[i][max(0, start - 3) : start], usual)):  # type: ignore[index]
                 found[i].append((kind, start, end))
-            k = e
+            k = after
     return found
 
 

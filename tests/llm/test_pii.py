@@ -99,3 +99,13 @@ def test_long_lines_are_decoded_whole(field):
             assert [(k, text[s:e]) for k, s, e in pii.find([text], field)[0]] == want, n
     far = fill * 6000 + "Please ping V. Lomundar again"
     assert [(k, far[s:e]) for k, s, e in pii.find([far], field)[0]] == want[:1]
+
+
+def test_odd_lines_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    field = pii.model()
+    for text in ("/" * 20_000 + "x", "%40" * 8_000 + "x", "a." * 10_000 + " me@x.test", "-" * 20_000):
+        pii.find([text], field)
+    assert time.perf_counter() - began < 60
