@@ -43,7 +43,7 @@ _THAI = "ก-\u0e3aเ-\u0e4e"
 _CLOSERS = "\"'”’»›)\\]}」』）】》〉”“"
 _CANDIDATE = re.compile(
     rf"(?P<wide>[。！？｡．]+[。！？!?…]*[{_CLOSERS.replace('“', '')}]*)"
-    rf"|(?P<mark>(?:[.!?…।॥؟۔։]|\.\.\.)+(?:[  ]?[»›]|[{_CLOSERS}])*)(?=\s|$)"
+    rf"|(?P<mark>(?<![.!?…।॥؟۔։])[.!?…।॥؟۔։]++(?:[  ][»›]|[{_CLOSERS}])*)(?=\s|$)"
     rf"|(?P<thai>(?<=[{_THAI}])(?=\s+(?:>\s*)?[{_THAI}]))"
 )
 _PAIRS = {"“": "”", "«": "»", "‹": "›", "(": ")", "[": "]", "（": "）", "「": "」", "『": "』", "《": "》", "【": "】"}

@@ -53,3 +53,13 @@ def test_long_code_blocks_and_long_lists():
     assert [text[a:b] for a, b in sentences.units(text)] == items
     text = "2019. It was a good year. We left."
     assert len(sentences.units(text)) > 1
+
+
+@pytest.mark.parametrize("text", ["a " + "." * 50_000 + "x b. C", "a " + "»" * 50_000 + "x", "z. B. " * 20_000, "“a. " * 20_000, "x. " + " " * 100_000 + "y", "> a. " * 20_000, "a b. " * 100_000])
+def test_long_odd_paragraphs_take_linear_time(text):
+    import time
+
+    began = time.perf_counter()
+    spans = sentences.units(text)
+    assert time.perf_counter() - began < 10
+    assert "".join("".join(text[a:b] for a, b in spans).split()) == "".join(text.split())
