@@ -45,7 +45,7 @@ FILTER = 26
 
 _INLINE = re.compile(r"</?(?:a|abbr|b|big|code|em|font|i|ins|del|kbd|mark|s|small|span|strong|sub|sup|tt|u)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[/!?]?[a-zA-Z][^<>]*>|<!--(?:(?!<!--).)*?-->", re.S)
-_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐\u00ad]\s*\n\s*(?:[>|]+\s*)?(?=[^\W\d_])")
+_BROKEN = re.compile(r"(?<=[^\W\d_])[-‐\u00ad][^\S\n]*+\n\s*+(?:[>|]++\s*+)?(?=[^\W\d_])")
 _MARKS = re.compile("[*_`~\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff\u180e\ufe00-\ufe0f]")
 _LINK = re.compile(r"\[([^\[\]]+)\]\([^()\s]*\)")
 _WORD = re.compile(r"[\u0e00-\u0e7f\u3040-ヿ㐀-鿿豈-\ufaff]|[^\W_\u0e00-\u0e7f\u3040-ヿ㐀-鿿豈-\ufaff]+")

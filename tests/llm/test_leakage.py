@@ -106,3 +106,12 @@ def test_long_tags_links_and_texts(spark):
     long_item = " ".join(f"q{i}" for i in range(3000))
     docs = [f"{filler} {PASSAGE} {filler}", " ".join(f"q{i}" for i in range(955, 967)), " ".join(f"q{i}" for i in range(1020, 1032)), long_item]
     assert found(spark, [PASSAGE, long_item], docs) == {(0, 0), (1, 1), (1, 2), (1, 3)}
+
+
+def test_odd_texts_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("a-" + "\n" * 200_000 + "1", "<" * 200_000, "<!--" * 50_000, "](" * 100_000, "[a" * 100_000, "x-\n" * 60_000):
+        leakage.words(text)
+    assert time.perf_counter() - began < 10
